@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontaminate, fingerprints, quality, secrets, simhash, toxicity
+from millrace.llm import bpe, decontaminate, fingerprints, quality, secrets, simhash, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +35,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op10_simhash)}
 
-ORACLE_SQL = {"op5_decontaminate": decontaminate.ORACLE}
+ORACLE_SQL = {"op5_decontaminate": decontaminate.ORACLE, "op8_substrings": substring.ORACLE}
