@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontaminate, fingerprints, quality, secrets, simhash, substring, toxicity
+from millrace.llm import bpe, chat, decontaminate, fingerprints, quality, secrets, simhash, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +39,14 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op9_chat, op10_simhash)}
 
-ORACLE_SQL = {"op5_decontaminate": decontaminate.ORACLE, "op8_substrings": substring.ORACLE}
+ORACLE_SQL = {"op5_decontaminate": decontaminate.ORACLE, "op8_substrings": substring.ORACLE, "op9_chat": chat.ORACLE}
