@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, chat, decontaminate, fingerprints, quality, secrets, simhash, substring, toxicity
+from millrace.llm import bpe, chat, decontaminate, fingerprints, pii, quality, secrets, simhash, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op9_chat, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_pii, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op9_chat, op10_simhash)}
 
 ORACLE_SQL = {"op5_decontaminate": decontaminate.ORACLE, "op8_substrings": substring.ORACLE, "op9_chat": chat.ORACLE}
