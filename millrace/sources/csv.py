@@ -28,6 +28,8 @@ BOOL = r"^(true|false)$"
 #: Declared types, for ``declared`` typing.
 DECLARED = {"string": "string", "number": "double", "int64": "bigint", "float64": "double", "date": "date", "bool": "boolean"}
 _OVER = "over__"
+#: Stands for the type of a column without values.
+EMPTY = "void"
 #: Bytes read for a header at first.
 HEADER = 1 << 16
 
@@ -92,7 +94,7 @@ def _kinds(width: int) -> list[Column]:
     for i in range(width):
         c = F.col(f"c{i}")
         fits = [F.count_if(c.rlike(p)) == F.count(c) for p in (INT, FLOAT, BOOL)]
-        kind = F.when(F.count(c) == 0, "string").when(fits[0], "bigint").when(fits[1], "double").when(fits[2], "boolean").otherwise("string")
+        kind = F.when(F.count(c) == 0, EMPTY).when(fits[0], "bigint").when(fits[1], "double").when(fits[2], "boolean").otherwise("string")
         out.append(kind.alias(f"k{i}"))
     return out
 
@@ -115,28 +117,41 @@ def ingest(objects: Objects, keys: Sequence[str], schema: Sequence[ColumnSchema]
                 out.failed[key] = MissingColumns(key, lacking)
             else:
                 by_header.setdefault(tuple(names), []).append(key)
+    scanned: dict[tuple[str, ...], dict[str, tuple[str, ...]]] = {}
     for names, group in by_header.items():
         rows = _scan(spark, objects, group, len(names))
         place = {objects.uri(k): k for k in group}
-        kinds = {place[unquote(r["file__"]) if unquote(r["file__"]) in place else _local(r["file__"])]: r for r in rows.groupBy("file__").agg(*_kinds(len(names))).toLocalIterator()}
-        at = {c.name: names.index(c.name) for c in schema}
-        by_types: dict[tuple[str, ...], list[str]] = {}
+        kinds = {place[_key(r["file__"], place)]: r for r in rows.groupBy("file__").agg(*_kinds(len(names))).toLocalIterator()}
+        at = [names.index(c.name) for c in schema]
+        scanned[names] = {}
         for key in group:
             found = kinds.get(key)
             if found and found["over"]:
                 out.failed[key] = FileFailed(key, "a row has more fields than the header")
-                continue
-            if typing == "declared":
-                types = tuple(DECLARED.get(c.type, "string") for c in schema)
-            else:  # a file with a header and no rows has columns of text
-                types = tuple(found[f"k{at[c.name]}"] if found else "string" for c in schema)
-            by_types.setdefault(types, []).append(key)
+            elif typing == "declared":
+                scanned[names][key] = tuple(DECLARED.get(c.type, "string") for c in schema)
+            else:
+                scanned[names][key] = tuple(found[f"k{i}"] if found else EMPTY for i in at)
+    # A column without a value in a file has the type that it has in the others.
+    seen = [{t[i] for files in scanned.values() for t in files.values()} - {EMPTY} for i in range(len(schema))]
+    usual = ["double" if s == {"bigint", "double"} else next(iter(s)) if len(s) == 1 else "string" for s in seen]
+    for names, files in scanned.items():
+        by_types: dict[tuple[str, ...], list[str]] = {}
+        for key, types in files.items():
+            by_types.setdefault(tuple(u if t == EMPTY else t for t, u in zip(types, usual, strict=True)), []).append(key)
         for types, same in by_types.items():
             frame = _scan(spark, objects, same, len(names))
-            out.groups.append(Typed(same, frame.select(*(F.col(f"c{at[c.name]}").try_cast(t).alias(c.name) for c, t in zip(schema, types, strict=True)))))
+            columns = [F.col(f"c{names.index(c.name)}").try_cast(t).alias(c.name) for c, t in zip(schema, types, strict=True)]
+            out.groups.append(Typed(same, frame.select(*columns)))
     return out
 
 
+def _key(path: str, known: dict[str, str]) -> str:
+    """A file's path as Spark names it, as the listing does."""
+    plain = unquote(path)
+    return plain if plain in known else _local(path)
+
+
 def _local(path: str) -> str:
     """file:///x, as Spark names local files, as file:/x, as Hadoop does."""
     return unquote(path).replace("file:///", "file:/", 1)
