@@ -32,7 +32,7 @@ from millrace.llm._store import stored
 #: Documents whose crc32 has this remainder are held out of the fit.
 MODULUS, HELD_OUT = 3, 1
 #: Share of the pooled variances in each class's covariance, and what is added to its diagonal.
-SHRINK, RIDGE = 0.05, 1e-4
+SHRINK, RIDGE = 0.1, 1e-3
 #: A document is kept if its score is at least this.
 ACCEPT = 0.5
 
