@@ -1,33 +1,22 @@
 from __future__ import annotations
 
-import os
 import subprocess
 import sys
 from pathlib import Path
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from millrace import queries as engine
+from tests_support import against_sql
 
 ROOT = Path(__file__).resolve().parent.parent
 SF = "/root/testdata/sf0.001"
 
 
-def compare(spark, name, query, sql, sf=SF):
-    con = duckdb.connect()
-    for f in os.listdir(sf):
-        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{sf}/{f}'")
-    got, want = query(spark, sf).toArrow(), con.sql(sql).to_arrow_table()
-    assert sorted(got.column_names) == sorted(want.column_names)
-    rows = lambda t: sorted(map(repr, zip(*[t.column(c).to_pylist() for c in sorted(got.column_names)], strict=True)))
-    assert rows(got) == rows(want)
-
-
 @pytest.mark.parametrize("name", sorted(engine.QUERIES))
 def test_query_matches_its_sql(spark, name):
-    compare(spark, name, engine.QUERIES[name], engine.SQL[name])
+    against_sql(spark, engine.QUERIES[name], engine.SQL[name], SF)
 
 
 def test_entry(spark):
