@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import re
+
+from millrace.llm import chat
+from millrace.llm.queries import QUERIES
+from tests_support import against_sql
+
+
+def turns(conv, *items):
+    return [(conv, i, r, t) for i, (r, t) in enumerate(items)]
+
+
+def test_common_turns_are_the_prompt(spark):
+    shared = [("system", "be kind"), ("user", "hi é😀")]
+    rows = turns(4, *shared, ("assistant", "hello"), ("user", "bye"), ("assistant", "so long")) + turns(5, *shared, ("assistant", "go"), ("user", "bye"))
+    df = spark.createDataFrame(rows[::-1], "conv_id long, turn long, role string, text string").repartition(3)
+    (r,) = chat.digest(df).collect()
+    assert (r.pair_id, r.n_prompt) == (2, 2)
+    assert r.prompt == "<|system|>\nbe kind<|end|>\n<|user|>\nhi é😀<|end|>\n"
+    assert r.chosen == "<|assistant|>\nhello<|end|>\n<|user|>\nbye<|end|>\n<|assistant|>\nso long<|end|>\n"
+    assert r.rejected == "<|assistant|>\ngo<|end|>\n<|user|>\nbye<|end|>\n"
+    pieces = [r.chosen[int(a) : int(b)] for a, b in (s.split(":") for s in r.chosen_mask.split(","))]
+    assert pieces == ["hello<|end|>", "so long<|end|>"]
+    assert r.rejected_mask == "14:23"
+
+
+def test_a_turn_that_agrees_after_a_difference_is_no_prompt(spark):
+    rows = turns(0, ("user", "a"), ("assistant", "x"), ("user", "b")) + turns(1, ("user", "z"), ("assistant", "x"), ("user", "b"))
+    (r,) = chat.digest(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert (r.n_prompt, r.prompt) == (0, "")
+
+
+def test_one_conversation_is_the_start_of_the_other_or_equal_to_it(spark):
+    rows = turns(0, ("user", "a"), ("assistant", "x")) + turns(1, ("user", "a")) + turns(2, ("user", "a")) + turns(3, ("user", "a"))
+    got = {r.pair_id: r for r in chat.digest(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert (got[0].n_prompt, got[0].rejected, got[0].rejected_mask) == (1, "", "")
+    assert (got[1].n_prompt, got[1].chosen, got[1].rejected) == (1, "", "")
+
+
+ODD = [
+    (0, 0, None, "a"),
+    (0, 1, "assistant", None),
+    (1, 0, "user", "a"),
+    (1, 1, "assistant", ""),
+    (1, 1, "assistant", ""),
+    (1, None, "system", "first"),
+    (None, 0, "user", "nobody's"),
+    (2, 0, "user", "x" * 100_000),
+    (7, 5, "assistant", "one"),
+    (7, 5, "assistant", "two"),
+]
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(*r, "c") for r in ODD], "conv_id long, turn long, role string, text string, prompt string")
+    got = {r.pair_id: r for r in chat.digest(df).collect()}
+    assert set(got) == {0, 1, 3}
+    assert got[0].n_prompt == 0  # the turn without a number comes first
+    assert got[0].rejected == "<|system|>\nfirst<|end|>\n<|user|>\na<|end|>\n<|assistant|>\n<|end|>\n"
+    assert (got[1].n_prompt, got[1].rejected) == (0, "")
+    assert got[3].rejected == "<|assistant|>\none<|end|>\n<|assistant|>\ntwo<|end|>\n"
+    assert chat.digest(df.limit(0)).collect() == []
+
+
+def test_whole_table_against_sql(spark):
+    against_sql(spark, QUERIES["op9_chat"], chat.ORACLE, "/root/testdata/sf0.01")
+
+
+def test_odd_rows_against_sql(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    shared = turns(40, ("user", "same"), ("assistant", "y"), ("user", "p")) + turns(41, ("user", "same"), ("assistant", "y"), ("assistant", "q"))
+    cols = list(zip(*ODD, *shared, strict=True))
+    pq.write_table(pa.table({"conv_id": pa.array(cols[0], pa.int64()), "turn": pa.array(cols[1], pa.int64()), "role": pa.array(cols[2], pa.string()), "text": pa.array(cols[3], pa.string())}), tmp_path / "conversations.parquet")
+    against_sql(spark, QUERIES["op9_chat"], chat.ORACLE, str(tmp_path))
+
+
+def test_the_plan_runs_no_python(spark):
+    plan = chat.digest(spark.createDataFrame(turns(0, ("user", "a")), "conv_id long, turn long, role string, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+
+from millrace.llm import quality
+from millrace.llm.queries import table
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_documents_are_told_apart(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    rows = quality.digest(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    assert np.mean([r.predicted == r.quality for r in held]) >= 0.98
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_scores_come_from_texts_and_labels_not_held_out_alone(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    scores = lambda d, lab: {r.doc_id: r.score for r in quality.digest(d, lab).collect()}
+    plain = scores(docs, labels)
+    other = labels.selectExpr("doc_id", "IF(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1, 1 - quality, quality) AS quality")
+    assert max(abs(plain[k] - v) for k, v in scores(docs.selectExpr("doc_id", "text", "'x' AS lang"), other).items()) < 1e-9
+
+
+def test_density_is_the_normal_one():
+    rng = np.random.default_rng(1)
+    sets = {y: rng.normal(size=(500, quality.SIZE)) * (1 + y) + y for y in (0, 1)}
+    fitted = quality.model({y: (len(x), x.sum(axis=0), x.T @ x) for y, x in sets.items()})
+    x = rng.normal(size=(20, quality.SIZE))
+    logs = []
+    for f, m in zip(fitted.factors, fitted.means, strict=True):
+        cov = f @ f.T
+        d = x - m
+        logs.append(-0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d) - 0.5 * np.linalg.slogdet(cov)[1])
+    assert np.allclose(fitted.score(x), 1 / (1 + np.exp(logs[0] - logs[1] - fitted.odds)))
+
+
+def test_odd_tables(spark):
+    docs = spark.createDataFrame([(1, "a fine text", 0.5), (None, None, None), (2, "", 0.1), (2, "", 0.1), (3, "!!" * 50_000, 1.0)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(1, 1, None), (1, 0, 1), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    got = quality.digest(docs, labels).collect()
+    assert len(got) == 5
+    assert all(r.score == 1.0 for r in got)  # nothing to learn from
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
+    assert quality.digest(docs.limit(0), labels).collect() == []
+    one = spark.createDataFrame([(i, 0) for i in range(6)], "doc_id long, quality int")
+    assert {r.score for r in quality.digest(docs, one).collect()} == {0.0}

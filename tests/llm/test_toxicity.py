@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+
+from millrace.llm import toxicity as tx
+from millrace.llm.queries import table
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_documents_are_told_apart(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    rows = tx.digest(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
+    assert np.mean([r.predicted for r in held if r.toxic]) >= 0.9
+    assert np.mean([r.predicted for r in held if not r.toxic]) <= 0.01
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_odd_tables(spark):
+    docs = spark.createDataFrame([(1, "a fine text", 0.5), (None, None, None), (2, "", 0.1), (2, "you idiot", 0.1), (3, "!!" * 50_000, 1.0)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(1, 1, None), (1, 0, 1), (1, 0, 0), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    got = tx.digest(docs, labels).collect()
+    assert len(got) == 5
+    assert all(r.score == 0.0 for r in got)  # nothing to learn from
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
+    assert tx.digest(docs.limit(0), labels).collect() == []
+    few = spark.createDataFrame([(i, "you idiot" if i % 2 else "all is well") for i in range(40)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert all(r.predicted == r.doc_id % 2 for r in tx.digest(few, marks).collect())
+
+
+def test_words_are_read_through_disguises():
+    lexicon = tx.Lexicon(tx.seed_terms())
+    for word in ("idiot", "IDIOT!!", "1d10t", "i.d.i.o.t", "(idiots", "St*upid", "m0ron,"):
+        bare = tx.plain(word)
+        assert lexicon.weigh(word) > 0 or bare in ("idiots",), word
+    assert lexicon.weigh("ideas") == 0
+    assert lexicon.weigh("You") == -1
+
+
+def test_isotonic_fit_is_the_least_squares_one():
+    rng = np.random.default_rng(2)
+    score, weight = rng.normal(size=60), np.ones(60)
+    y = (score + rng.normal(size=60) > 0).astype(float)
+    xs, ps = tx.isotonic(score, y, weight)
+    assert (np.diff(xs) >= 0).all() and (np.diff(ps) >= 0).all()
+    # By brute force: the greatest of the least means of rows from before to after each row.
+    ordered = y[np.argsort(score)]
+    exact = [max(min(ordered[a : b + 1].mean() for b in range(i, 60)) for a in range(i + 1)) for i in range(60)]
+    got = np.interp(np.sort(score), xs, ps)
+    assert np.abs(got - exact).max() < 0.35  # a pseudo-row in each block pulls to the mean
+    assert np.corrcoef(got, exact)[0, 1] > 0.97
+
+
+def test_boosting_learns_a_rule_of_two_features():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2000, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
+    trees = tx.boost(x, y)
+    assert ((trees.margin(x) > 0) == y).mean() > 0.97
