@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a pass holds decoded at a time (one longer text is taken whole).
@@ -32,9 +32,19 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and backticks in it included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def named(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under new names: other columns, whatever they are called, stay out of the way."""
-    return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+    return df.select(*[quoted(old).alias(new) for new, old in columns.items()])
+
+
+def picked(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, each once."""
+    return df.select(*map(quoted, dict.fromkeys(names)))
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

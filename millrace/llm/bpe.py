@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm._arrow import steps, texts
+from millrace.llm._arrow import picked, steps, texts
 
 #: Bytes of a pre-token that the library encodes in one go.
 LEAF = 256
@@ -171,7 +171,7 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", file: str | Non
                 arrays += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *(f.name for f in new)])
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(pass_, schema)
+    return picked(docs, *keep, text).mapInArrow(pass_, schema)
 
 
 def digest(docs: DataFrame, file: str | None = None) -> DataFrame:

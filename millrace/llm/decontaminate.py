@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm._arrow import free_name, named, steps, texts
+from millrace.llm._arrow import free_name, named, quoted, steps, texts
 from millrace.llm._store import stored
 
 #: Words in a window.
@@ -162,7 +162,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     """
     keep = [c for c in keep if c not in ("n_words", "hit_spans", "items")]
     spare = free_name(docs, "text__")
-    out = docs.select(*(F.col(c) for c in keep), F.col(text).alias(spare), F.lit(0).cast("long").alias("n_words"), F.array().cast(HITS).alias("hit_spans"), F.array().cast(ITEMS).alias("items"))
+    out = docs.select(*map(quoted, keep), quoted(text).alias(spare), F.lit(0).cast("long").alias("n_words"), F.array().cast(HITS).alias("hit_spans"), F.array().cast(ITEMS).alias("items"))
     for rows, last in blocks(benchmark, item_id, item_text, most):
         out = out.mapInArrow(_pass(benchmark_block(rows, span), spare, span), out.schema)
         out = out if last else stored(out, "hits")

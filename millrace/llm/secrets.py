@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm._arrow import steps, texts
+from millrace.llm._arrow import picked, steps, texts
 
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "entropy")
@@ -117,7 +117,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text", out: str = "secre
             rows = [[{"kind": k, "start": a, "end": b} for a, b, k in find(x)] for x in texts(batch, text)]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(rows, kind)], names=[*keep, out])
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(pass_, schema)
+    return picked(docs, *keep, text).mapInArrow(pass_, schema)
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:

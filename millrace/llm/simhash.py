@@ -1,10 +1,13 @@
 """SimHash near-duplicates by anchor-point covering.
 
-The 64 bits are dealt to ``BLOCKS`` = 3 blocks; of two fingerprints that differ in 4 bits or fewer, some block differs in one
-bit at most. The anchors of a block are the words of a covering code of radius 1: a Hamming [15, 11] code on its
-first 15 bits, all values on the rest. A block value has an anchor within distance 1, so a value that differs in one bit from it is
-within 1 + 1 of that anchor: every fingerprint is replicated to all anchors within 2, at most 15 + 15 * r + r * r on r
-free bits and less on average, and any linked pair meets at an anchor.
+The 64 bits are cut into blocks, and a view joins some of them: with 3 blocks and views of one, or with 6 and views of three, two
+fingerprints that differ in 4 bits or fewer differ in one bit at most in some view. The anchors of a view are the words of a
+covering code of radius 1: a Hamming code on its first 15 (or 31) bits, all values on the rest. A value has an anchor
+within distance 1, so one that differs from it in one bit is within 1 + 1 of that anchor: every fingerprint is
+replicated to all anchors within 2 in every view, and any linked pair meets at an anchor.
+
+The first scheme makes about 45 replicates at 2**17 anchors a view, the second about 340 at 2**26 or more. The number of distinct
+fingerprints decides: from ``MANY`` on the first one's anchors would hold so many that comparing them costs more than replicating.
 
 Only distinct fingerprints are replicated. A task reads the fingerprints of its anchors in order, one anchor at a time,
 and links them by breadth-first search, which compares each fingerprint once with those not yet reached and emits a
@@ -18,7 +21,9 @@ names a component unless the component has no other id; then component_id is nul
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +31,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm._arrow import named, steps, texts
+from millrace.llm._arrow import free_name, named, steps, texts
 from millrace.llm._store import forget, stored
 
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
-#: Blocks of bits; with 3, some block of a linked pair differs in DISTANCE // 3 = 1 bit at most.
-BLOCKS = 3
+#: Distinct fingerprints from which on the wider scheme is used.
+MANY = 1 << 26
 #: Rows compared at a time inside an anchor.
-CHUNK = 1 << 14
+CHUNK = 1 << 13
 
 
 def fingerprint(text: str) -> int:
@@ -69,28 +74,50 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return named(docs, key=key, text=text).mapInArrow(pass_, schema)
 
 
-@functools.lru_cache(maxsize=4)
-def offsets(free: int) -> tuple[np.ndarray, ...]:
-    """For each syndrome of the Hamming code, what to flip in a block of 15 + ``free`` bits to reach the anchors within 2.
+class Scheme(NamedTuple):
+    """Into how many blocks the bits are cut, how many of them a view joins, and how many bits its Hamming code takes."""
+
+    blocks: int
+    joined: int
+    code: int
+
+
+# Of 3 numbers with a sum of 4 or less the least is 1 or less, and of 6 the least three have a sum of 1 or less.
+NARROW, WIDE = Scheme(3, 1, 15), Scheme(6, 3, 31)
+
+
+def views(scheme: Scheme) -> list[list[tuple[int, int]]]:
+    """Each view's blocks as (first bit, bits)."""
+    cuts = [BITS * i // scheme.blocks for i in range(scheme.blocks + 1)]
+    blocks = [(a, b - a) for a, b in itertools.pairwise(cuts)]
+    return [list(v) for v in itertools.combinations(blocks, scheme.joined)]
+
+
+@functools.lru_cache(maxsize=8)
+def offsets(code: int, free: int) -> tuple[np.ndarray, ...]:
+    """For each syndrome of the Hamming code, what to flip in a value of ``code`` + ``free`` bits to reach the anchors within 2.
 
-    The syndrome of a value is the exclusive or of the positions 1..15 of its set bits; the flips of up to two bits that
+    The syndrome of a value is the exclusive or of the positions 1, 2, ... of its set code bits; the flips of up to two bits that
     reach a codeword are those whose positions have that syndrome in turn.
     """
-    flips = [0] + [1 << i for i in range(15 + free)] + [1 << i | 1 << j for i in range(15 + free) for j in range(i)]
-    syndrome = [functools.reduce(int.__xor__, (i + 1 for i in range(15) if f >> i & 1), 0) for f in flips]
-    return tuple(np.array([f for f, s in zip(flips, syndrome, strict=True) if s == k], np.uint64) for k in range(16))
+    n = code + free
+    flips = [0] + [1 << i for i in range(n)] + [1 << i | 1 << j for i in range(n) for j in range(i)]
+    syndrome = [functools.reduce(int.__xor__, (i + 1 for i in range(code) if f >> i & 1), 0) for f in flips]
+    return tuple(np.array([f for f, s in zip(flips, syndrome, strict=True) if s == k], np.uint64) for k in range(code + 1))
 
 
-def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (number of the fingerprint, anchor) for unsigned fingerprints; an anchor's top bits name its block."""
-    cuts = [BITS * i // BLOCKS for i in range(BLOCKS + 1)]
+def anchors(fps: np.ndarray, scheme: Scheme = NARROW) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (number of the fingerprint, anchor) for unsigned fingerprints; an anchor's top bits name its view."""
     which, where = [], []
-    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        value = fps >> np.uint64(a) & np.uint64((1 << b - a) - 1)
+    for k, view in enumerate(views(scheme)):
+        value, width = np.zeros(len(fps), np.uint64), 0
+        for a, n in view:
+            value |= (fps >> np.uint64(a) & np.uint64((1 << n) - 1)) << np.uint64(width)
+            width += n
         syndrome = np.zeros(len(fps), np.int64)
-        for i in range(15):
+        for i in range(scheme.code):
             syndrome ^= np.where(value >> np.uint64(i) & np.uint64(1), i + 1, 0)
-        for s, flips in enumerate(offsets(b - a - 15)):
+        for s, flips in enumerate(offsets(scheme.code, width - scheme.code)):
             at = np.flatnonzero(syndrome == s)
             which.append(np.repeat(at, len(flips)))
             where.append((value[at, None] ^ flips).ravel() | np.uint64(k << 40))
@@ -114,8 +141,9 @@ def forest(fps: np.ndarray, most: int = DISTANCE) -> list[tuple[int, int]]:
     return edges
 
 
-def links(distinct: DataFrame) -> DataFrame:
+def links(distinct: DataFrame, scheme: Scheme | None = None) -> DataFrame:
     """(a, b): links between the fingerprints of column fp, enough of them to connect what all links connect."""
+    chosen = scheme or (NARROW if distinct.count() < MANY else WIDE)
     place = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("fp", T.LongType())])
     pair = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -124,7 +152,7 @@ def links(distinct: DataFrame) -> DataFrame:
             fps = np.asarray(batch.column(0)).astype(np.int64)
             for i in range(0, len(fps), CHUNK):
                 part = fps[i : i + CHUNK]
-                which, where = anchors(part.view(np.uint64))
+                which, where = anchors(part.view(np.uint64), chosen)
                 yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(part[which])], names=["anchor", "fp"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,8 +226,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     found = near_duplicates(docs.filter(F.col(key).isNotNull()), key, text)
     gone = found.groupBy("key").agg(F.max((F.col("key") == F.col("component")).cast("int")).alias("stays")).filter("stays = 0").select(F.col("key").alias(key))
     rest = docs.filter(F.col(key).isNotNull()).join(gone, key, "left_anti")
-    nth = "nth__" + key
-    rest = rest.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))).filter(F.col(nth) == 1).select(*docs.columns)
+    nth = free_name(rest, "nth")
+    rest = rest.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))).filter(F.col(nth) == 1).drop(nth)
     return rest.unionByName(docs.filter(F.col(key).isNull()))
 
 

@@ -41,7 +41,8 @@ def test_fingerprints():
         assert sh.fingerprint(text) == plain_fingerprint(text)
 
 
-def test_any_linked_pair_meets_at_an_anchor():
+@pytest.mark.parametrize("scheme", [sh.NARROW, sh.WIDE])
+def test_any_linked_pair_meets_at_an_anchor(scheme):
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2**64, 400, dtype=np.uint64)
     y = x.copy()
@@ -50,22 +51,22 @@ def test_any_linked_pair_meets_at_an_anchor():
             y[i] ^= np.uint64(1) << np.uint64(b)
     places = [{} for _ in range(2)]
     for place, fps in zip(places, (x, y), strict=True):
-        for w, a in zip(*sh.anchors(fps), strict=True):
+        for w, a in zip(*sh.anchors(fps, scheme), strict=True):
             place.setdefault(int(w), set()).add(int(a))
     assert all(places[0][i] & places[1][i] for i in range(len(x)))
 
 
 def test_the_code_covers_with_radius_one():
-    flips = sh.offsets(6)
+    flips = sh.offsets(15, 6)
     words = [v for v in range(1 << 15) if not np.bitwise_xor.reduce([0] + [i + 1 for i in range(15) if v >> i & 1])]
     assert len(words) == 2**11
     assert len({w ^ e for w in words for e in [0] + [1 << i for i in range(15)]}) == 1 << 15
     assert sum(map(len, flips)) == 1 + 21 + 210
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_links_connect_what_all_pairs_connect(spark, seed):
-    rng = np.random.default_rng(seed)
+@pytest.mark.parametrize("scheme", [sh.NARROW, sh.WIDE, None])
+def test_links_connect_what_all_pairs_connect(spark, scheme):
+    rng = np.random.default_rng(1)
     base = rng.integers(0, 2**64, 60, dtype=np.uint64)
     fps = [int(b) for b in base]
     for b in base[:20]:  # chains of changed bits, and crowds
@@ -76,7 +77,7 @@ def test_links_connect_what_all_pairs_connect(spark, seed):
             fps.append(x)
     fps = sorted(set(fps))
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
-    got = sh.components(sh.links(spark.createDataFrame([(f,) for f in signed], "fp long")))
+    got = sh.components(sh.links(spark.createDataFrame([(f,) for f in signed], "fp long"), scheme))
     roots = {r.node: r.root for r in got.collect()}
     want = plain_components(list(range(len(fps))), fps)
     mine = [roots.get(s, s) for s in signed]
