@@ -17,8 +17,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: What this process has written and not forgotten.
+_WRITTEN: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -31,8 +37,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def forget(df: DataFrame) -> None:
     """Delete the files that a stored table was read from, once nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
+    _delete(df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all stored tables of this process; results that still read them must have been written or collected."""
+    _delete(spark, set(_WRITTEN))
+
+
+def _delete(spark: SparkSession, paths: set[str]) -> None:
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
+    names = {p.rsplit("/", 1)[1] for p in paths}
+    _WRITTEN[:] = [w for w in _WRITTEN if w.rsplit("/", 1)[1] not in names]

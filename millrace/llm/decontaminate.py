@@ -32,7 +32,7 @@ from millrace.llm._store import stored
 #: Words in a window.
 SPAN = 10
 #: Characters of benchmark text that a task holds at a time.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 4 << 20
 #: Bytes of text in a shard.
 SHARD_BYTES = 4 << 20
 
