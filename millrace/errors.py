@@ -1,4 +1,7 @@
-"""Errors, with the texts that job reports show."""
+"""Errors, with the texts that job reports show.
+
+Fixed values: these texts are part of the reports' format.
+"""
 
 from __future__ import annotations
 

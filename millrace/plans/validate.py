@@ -22,6 +22,9 @@ class Problem:
         return {"kind": self.kind, "message": self.message, "path": self.path}
 
 
+# The kinds and texts of reports.
+
+
 def duplicate(path: str, what: str, name: str) -> Problem:
     return Problem("duplicate_id", path, f"duplicate {what} id `{name}` at {path}")
 
