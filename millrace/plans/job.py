@@ -6,6 +6,7 @@ import logging
 import uuid
 from collections.abc import Callable
 from collections.abc import Mapping as Map
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,24 @@ def error(kind: str, message: str, details: list[Any] | None = None) -> dict[str
     return {"error": {"kind": kind, "message": message, "details": details or []}}
 
 
+@dataclass(frozen=True)
+class Options:
+    """How a job departs from the defaults.
+
+    ``typing``: column types ``inferred`` from each file or ``declared`` in the config. ``first_mapping``: evaluate a container's first
+    mapping whatever mapping is run. ``parity_unique``: see ``assertions.checks``. ``check_config``: refuse a config with problems.
+    ``multi_line``: quoted fields may hold line ends, so a file is one task; without it large files are split. ``split_months``: large
+    months become several objects, written by several tasks.
+    """
+
+    typing: str = "inferred"
+    first_mapping: bool = False
+    parity_unique: bool = False
+    check_config: bool = True
+    multi_line: bool = True
+    split_months: bool = False
+
+
 def resolve_mapping(container: str, config: PipelineConfig) -> Mapping:
     """The first mapping of a container."""
     for m in config.mappings:
@@ -41,19 +60,17 @@ def apply_mapping(df: DataFrame, mapping: Mapping, lookups: Map[str, Lookup]) ->
     return project(df, {c.name: c.expr for c in mapping.columns}, lookups)
 
 
-def ingest_mapping(objects: Objects, keys: Map[str, str], mapping: Mapping, config: PipelineConfig, lookups: Map[str, Lookup], typing: str = "inferred", first_mapping: bool = False) -> DataFrame:
-    """A mapping over its files (key under the pipeline: key under the root). Files that fail are logged and left out; none left is an error.
-
-    ``first_mapping`` evaluates the container's first mapping instead, whatever mapping was asked for.
-    """
+def ingest_mapping(objects: Objects, keys: Map[str, str], mapping: Mapping, config: PipelineConfig, lookups: Map[str, Lookup], options: Options | None = None) -> DataFrame:
+    """A mapping over its files (key under the pipeline: key under the root). Files that fail are logged and left out; none left is an error."""
+    options = options or Options()
     by_container: dict[str, list[str]] = {}
     for key, full in keys.items():
         by_container.setdefault(resolve_container(key, config.source_containers).id, []).append(full)
     frames, failed = [], {}
     for name, files in by_container.items():
         container = next(c for c in config.source_containers if c.id == name)
-        chosen = resolve_mapping(name, config) if first_mapping or name != mapping.source_container_id else mapping
-        got = ingest(objects, files, container.schema, typing)
+        chosen = resolve_mapping(name, config) if options.first_mapping or name != mapping.source_container_id else mapping
+        got = ingest(objects, files, container.schema, options.typing, options.multi_line)
         failed |= got.failed
         for group in got.groups:
             try:
@@ -67,7 +84,7 @@ def ingest_mapping(objects: Objects, keys: Map[str, str], mapping: Mapping, conf
     return union_all(frames)
 
 
-def run_pipeline(spark: SparkSession, root: str, pipeline_prefix: str, clean_run: bool = False, *, check_config: bool = True, typing: str = "inferred", first_mapping: bool = False, parity_unique: bool = False) -> dict[str, Any]:
+def run_pipeline(spark: SparkSession, root: str, pipeline_prefix: str, clean_run: bool = False, options: Options | None = None) -> dict[str, Any]:
     """Run the pipeline whose config is ``<pipeline_prefix>pipeline.json`` under ``root``; returns the report.
 
     Mappings fail one by one: their errors are listed and the others run. With ``clean_run`` a table's older objects are deleted once
@@ -82,7 +99,8 @@ def run_pipeline(spark: SparkSession, root: str, pipeline_prefix: str, clean_run
         config = parse_config(text)
     except ConfigParseError as e:
         return error("config_parse_failed", str(e))
-    if check_config and (problems := validate(config)):
+    options = options or Options()
+    if options.check_config and (problems := validate(config)):
         return error("config_invalid", f"{len(problems)} problem(s) in the config", [p.json() for p in problems])
     lookups = build_registry(config.lookup_mappings)
     files: dict[str, str] = {}
@@ -101,33 +119,41 @@ def run_pipeline(spark: SparkSession, root: str, pipeline_prefix: str, clean_run
 
     written, errors = 0, []
     for mapping in config.mappings:
-        found = _run_mapping(objects, files, mapping, config, lookups, pipeline_prefix, typing, first_mapping, parity_unique, clean)
+        found = _run_mapping(objects, files, mapping, config, lookups, pipeline_prefix, options, clean)
         written += found[0]
         errors += found[1]
     return {"job_id": str(uuid.uuid4()), "partitions_written": written, "files_processed": len(files), "errors": errors}
 
 
-def _run_mapping(objects: Objects, files: dict[str, str], mapping: Mapping, config: PipelineConfig, lookups: Map[str, Lookup], prefix: str, typing: str, first_mapping: bool, parity_unique: bool, clean: Callable[[str], None]) -> tuple[int, list[str]]:
+def _run_mapping(objects: Objects, files: dict[str, str], mapping: Mapping, config: PipelineConfig, lookups: Map[str, Lookup], prefix: str, options: Options, clean: Callable[[str], None]) -> tuple[int, list[str]]:
     container = next((c for c in config.source_containers if c.id == mapping.source_container_id), None)
     own = {k: v for k, v in files.items() if container and k.startswith(container.path_prefix)}
     if not own:
         return 0, []
-    step = f"ingest {mapping.id}"
+    step, staged = f"ingest {mapping.id}", None
     try:
-        df = ingest_mapping(objects, own, mapping, config, lookups, typing, first_mapping)
+        df = ingest_mapping(objects, own, mapping, config, lookups, options)
         table = next((t for t in config.analytic_tables if t.id == mapping.analytic_table_id), None)
         if table is None:
             return 0, [f"table {mapping.analytic_table_id} not found"]
         step = f"collect {mapping.id}"
-        violations = validate_assertions(df, table, parity_unique)
+        supported = not mapping.partition_by or mapping.partition_by.granularity == "month"
+        if supported:
+            staged = parquet.stage(df, mapping, objects, prefix, options.split_months)
+        violations = validate_assertions(staged.frame if staged else df, table, options.parity_unique)
         if violations:
             return 0, [f"assertion {mapping.id}: {v}" for v in violations]
         step = f"partition {mapping.id}"
         parquet.check_granularity(mapping.partition_by)
+        assert staged
         step = f"upload {mapping.id}"
-        return len(parquet.write(df, mapping, table.id, objects, prefix, lambda: clean(table.id))), []
+        clean(table.id)
+        return len(staged.publish(table.id)), []
     except MillraceError as e:
         return 0, [f"{step}: {e}"]
     except Exception as e:  # what Spark raises while it runs fails this mapping only
         log.exception("%s failed", step)
         return 0, [f"{step}: {(str(e).splitlines() or [type(e).__name__])[0]}"]
+    finally:
+        if staged:
+            staged.discard()

@@ -82,10 +82,10 @@ class Ingested:
     failed: dict[str, PipelineError] = field(default_factory=dict)
 
 
-def _scan(spark: SparkSession, objects: Objects, keys: list[str], width: int) -> DataFrame:
+def _scan(spark: SparkSession, objects: Objects, keys: list[str], width: int, multi_line: bool) -> DataFrame:
     """Text columns c0, c1, ... and one for what a row has too much, with the file's path. Names are by place: headers may differ in case only."""
     schema = T.StructType([*(T.StructField(f"c{i}", T.StringType()) for i in range(width)), T.StructField(_OVER, T.StringType())])
-    rows = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', enforceSchema=True, mode="PERMISSIVE").csv([objects.uri(k) for k in keys])
+    rows = spark.read.schema(schema).options(header=True, multiLine=multi_line, escape='"', enforceSchema=True, mode="PERMISSIVE").csv([objects.uri(k) for k in keys])
     return rows.withColumn("file__", F.col("_metadata.file_path"))
 
 
@@ -99,10 +99,11 @@ def _kinds(width: int) -> list[Column]:
     return out
 
 
-def ingest(objects: Objects, keys: Sequence[str], schema: Sequence[ColumnSchema], typing: str = "inferred") -> Ingested:
+def ingest(objects: Objects, keys: Sequence[str], schema: Sequence[ColumnSchema], typing: str = "inferred", multi_line: bool = True) -> Ingested:
     """Read files into typed frames of the declared columns, in declared order; files that fail are left out and named.
 
-    ``typing`` is ``inferred`` (from each file's values) or ``declared`` (values that do not fit become null).
+    ``typing`` is ``inferred`` (from each file's values) or ``declared`` (values that do not fit become null). Without
+    ``multi_line`` a record ends with its line, and large files are read by several tasks.
     """
     spark = objects.spark
     out = Ingested()
@@ -119,7 +120,7 @@ def ingest(objects: Objects, keys: Sequence[str], schema: Sequence[ColumnSchema]
                 by_header.setdefault(tuple(names), []).append(key)
     scanned: dict[tuple[str, ...], dict[str, tuple[str, ...]]] = {}
     for names, group in by_header.items():
-        rows = _scan(spark, objects, group, len(names))
+        rows = _scan(spark, objects, group, len(names), multi_line)
         place = {objects.uri(k): k for k in group}
         kinds = {place[_key(r["file__"], place)]: r for r in rows.groupBy("file__").agg(*_kinds(len(names))).toLocalIterator()}
         at = [names.index(c.name) for c in schema]
@@ -140,7 +141,7 @@ def ingest(objects: Objects, keys: Sequence[str], schema: Sequence[ColumnSchema]
         for key, types in files.items():
             by_types.setdefault(tuple(u if t == EMPTY else t for t, u in zip(types, usual, strict=True)), []).append(key)
         for types, same in by_types.items():
-            frame = _scan(spark, objects, same, len(names))
+            frame = _scan(spark, objects, same, len(names), multi_line)
             columns = [F.col(f"c{names.index(c.name)}").try_cast(t).alias(c.name) for c, t in zip(schema, types, strict=True)]
             out.groups.append(Typed(same, frame.select(*columns)))
     return out

@@ -9,7 +9,7 @@ import pytest
 
 from millrace.errors import NoMapping, UnknownSourceContainer, UnsupportedGranularity
 from millrace.plans import model
-from millrace.plans.job import resolve_mapping, run_pipeline
+from millrace.plans.job import Options, resolve_mapping, run_pipeline
 from millrace.service import REQUIRED, require_env, respond, server
 from millrace.sources.csv import ingest, missing_columns, resolve_container
 from millrace.sources.objects import Objects
@@ -135,7 +135,7 @@ def test_each_mapping_gets_its_own_columns_unless_told_otherwise(spark, root):
     report = run_pipeline(spark, str(base), "p/")
     assert report["partitions_written"] == 3
     assert spark.read.parquet(str(base / "p/clean/transactions/second.parquet")).columns == ["description"]
-    run_pipeline(spark, str(base), "p/", first_mapping=True)
+    run_pipeline(spark, str(base), "p/", options=Options(first_mapping=True))
     assert spark.read.parquet(str(base / "p/clean/transactions/second.parquet")).columns == ["date", "description", "amount"]
 
 
@@ -148,7 +148,7 @@ def test_reports_of_what_cannot_run(spark, root):
     doc["mappings"][0]["analytic_table_id"] = "gone"
     base = root(doc)
     assert run_pipeline(spark, str(base), "p/")["error"]["kind"] == "config_invalid"
-    assert run_pipeline(spark, str(base), "p/", check_config=False)["errors"] == ["table gone not found"]
+    assert run_pipeline(spark, str(base), "p/", options=Options(check_config=False))["errors"] == ["table gone not found"]
     doc = config()
     doc["mappings"][0]["partition_by"]["granularity"] = "day"
     assert run_pipeline(spark, str(root(doc)), "p/")["errors"] == ['partition visa_to_tx: unsupported partition granularity: `day` (supported: "month")']
@@ -177,6 +177,32 @@ def test_names_of_files_with_spaces(spark, root):
     assert run_pipeline(spark, str(base), "p/")["partitions_written"] == 1
 
 
+def test_large_months_can_be_split(spark, root):
+    rows_ = "".join(f"2024-01-{1 + i % 28:02d},d{i},{i}\n" for i in range(2000))
+    base = root(config(), {"a.csv": "date,description,amount\n" + rows_ + "nope,x,1\n"})
+    options = Options(split_months=True, multi_line=False)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        report = run_pipeline(spark, str(base), "p/", options=options)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert report["errors"] == [] and report["partitions_written"] > 1
+    month = base / "p/clean/transactions/year=2024/month=01"
+    assert len(list(month.glob("visa_to_tx*.parquet"))) == report["partitions_written"]
+    assert spark.read.parquet(str(month)).distinct().count() == 2000
+    run_pipeline(spark, str(base), "p/")
+    assert [p.name for p in month.glob("*.parquet")] == ["visa_to_tx.parquet"]
+
+
+def test_assertions_see_rows_without_a_date(spark, root):
+    doc = config()
+    doc["analytic_tables"][0]["schema"][0]["assertions"] = {"not_null": True}
+    base = root(doc, {"a.csv": "date,description,amount\n2024-01-05,a,1\nnope,b,2\n"})
+    assert run_pipeline(spark, str(base), "p/")["errors"] == ["assertion visa_to_tx: column `date` not_null: 1 null value(s) found"]
+    assert parquets(base) == []
+
+
 def test_small_parts():
     schema = [model.ColumnSchema(n, "string") for n in "ab"]
     assert missing_columns(["A", "b", "c"], schema) == ["a"]
