@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm._arrow import named, steps, texts
+from millrace.llm._arrow import named, picked, steps, texts
 from millrace.llm._hash import U, byte_table, mix, numbers, run_hashes, word_hashes
 
 SHINGLE, BINS, BITS = 5, 256, 4
@@ -95,7 +95,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", out: str
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array([fingerprint(x) for x in texts(batch, text)], pa.binary())], names=[*keep, out])
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(pass_, T.StructType([*(docs.schema[c] for c in keep), T.StructField(out, T.BinaryType())]))
+    return picked(docs, *keep, text).mapInArrow(pass_, T.StructType([*(docs.schema[c] for c in keep), T.StructField(out, T.BinaryType())]))
 
 
 def edited(text: str, following: str) -> str:
@@ -112,8 +112,9 @@ def ranges(docs: DataFrame, key: str, text: str) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = named(docs, key=key, text=text).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    count = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = rows.select(F.col("key").cast("long").alias("key")).approxQuantile("key", [i / count for i in range(1, count)], 0.1 / count)
+    count = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A finer error than this would make the sketches themselves large; ranges then differ in size by a little more.
+    found = rows.select(F.col("key").cast("long").alias("key")).approxQuantile("key", [i / count for i in range(1, count)], max(0.1 / count, 5e-5))
     bounds = np.unique(found).astype(np.int64)
     hot = sorted({int(v) for v, w in zip(found, found[1:], strict=False) if v == w})
 
