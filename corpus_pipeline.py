@@ -9,32 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import bpe, decontaminate, quality, secrets, simhash
+from millrace.llm._ship import ship
 from millrace.llm._store import stored
 from millrace.llm.queries import table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. The model is fitted on the labelled rows of ``docs``."""
+    ship(spark)
     return quality.keep(docs, quality.fit(quality.featured(docs), table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
+    ship(spark)
     return simhash.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    ship(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark and n_chars counted anew."""
+    ship(spark)
     return secrets.redact(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source and the tokens of every document."""
+    ship(spark)
     return bpe.encode(docs, ["doc_id", "source"])
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import bpe, chat, decontaminate, fingerprints, pii, quality, secrets, simhash, substring, toxicity
+from millrace.llm._ship import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A whole table; from here on workers have this package too."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
