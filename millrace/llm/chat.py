@@ -7,7 +7,7 @@ marks of assistant turns; everything else, and the whole prompt, is masked out.
 
 Turns are ordered by number; turns with one number by role, then text, and repeats of a turn (number, role and text equal) count once. A
 null role is rendered as ``user``, a null text as empty; turns without a number come first. Rows without a conversation
-belong to no pair. A conversation whose partner is missing makes a pair with an empty side: the prompt is empty then.
+belong to no pair. A side without turns is empty, and so is the prompt then.
 """
 
 from __future__ import annotations
@@ -48,15 +48,15 @@ def common(a: Column, b: Column) -> Column:
     return F.when(first > 0, first - 1).otherwise(shared)
 
 
-def format_pairs(turns: DataFrame, pair: Column, chosen: Column, turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(pair_id, n_prompt, prompt, chosen, chosen_mask, rejected, rejected_mask), a row for each pair.
+def conversations(turns: DataFrame, key: Column, turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """(key, turns): each conversation's turns in order. Rows with a null key belong to none."""
+    rows = turns.select(key.alias("key"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
+    return rows.filter(F.col("key").isNotNull()).groupBy("key").agg(F.array_distinct(F.sort_array(F.collect_list("t"))).alias("turns"))
 
-    ``pair`` names a turn's pair and ``chosen`` says whether it is on the chosen side; turns with a null in either belong to none.
-    """
-    rows = turns.select(pair.alias("pair_id"), chosen.alias("side"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
-    rows = rows.filter(F.col("pair_id").isNotNull() & F.col("side").isNotNull())
-    of = lambda side: F.array_distinct(F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("t")))))
-    sides = rows.groupBy("pair_id").agg(of(True).alias("a"), of(False).alias("b")).withColumn("n", common(F.col("a"), F.col("b")))
+
+def format_pairs(pairs: DataFrame) -> DataFrame:
+    """The formatted pairs (pair_id, n_prompt, prompt, chosen, chosen_mask, rejected, rejected_mask) of (pair_id, a, b): ordered turns of both sides."""
+    sides = pairs.select("pair_id", "a", "b", common(F.col("a"), F.col("b")).alias("n"))
     after = lambda c: F.slice(F.col(c), F.col("n") + 1, F.greatest(F.size(c), F.lit(1)))
     cut = sides.select("pair_id", "n", F.slice("a", F.lit(1), F.col("n")).alias("prompt"), after("a").alias("a"), after("b").alias("b"))
     return cut.select(
@@ -70,24 +70,51 @@ def format_pairs(turns: DataFrame, pair: Column, chosen: Column, turn: str = "tu
     )
 
 
-def digest(conversations: DataFrame) -> DataFrame:
-    """The rows of query op9: conversations 2k (chosen) and 2k + 1 (rejected) are pair k."""
-    conv = F.col("conv_id")
-    return format_pairs(conversations, F.floor(conv / 2), F.pmod(conv, F.lit(2)) == 0)
+def paired(turns: DataFrame, pair: Column, chosen: Column, **names: str) -> DataFrame:
+    """(pair_id, a, b) from turns of which ``pair`` names the pair and ``chosen`` the side. A side without turns is empty."""
+    found = conversations(turns, F.when(pair.isNotNull() & chosen.isNotNull(), F.struct(pair.alias("pair"), chosen.alias("chosen"))), **names)
+    side = lambda c: F.flatten(F.collect_list(F.when(F.col("key.chosen") == c, F.col("turns"))))
+    return found.groupBy(F.col("key.pair").alias("pair_id")).agg(side(True).alias("a"), side(False).alias("b"))
+
+
+def contrasted(found: DataFrame) -> DataFrame:
+    """(pair_id, a, b) from conversations (key, turns) without preferences: the rejected side has another conversation's answer.
+
+    Conversations 2k and 2k + 1 lend each other their last assistant turns. Where there is none to lend, the rejected side lacks the
+    turn; a conversation without an assistant turn has nothing to prefer, so its sides are equal.
+    """
+    last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"])), F.lit("assistant")).cast("int")
+    place = found.select("key", "turns", last.alias("last"))  # the turns' number if there is no assistant turn
+    own = place.filter(F.col("last") < F.size("turns"))
+    lent = own.select(F.col("key").bitwiseXOR(F.lit(1)).alias("key"), F.get("turns", F.col("last"))["text"].alias("other"))
+    swapped = F.transform("turns", lambda t, i: F.when(i == F.col("last"), F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.col("other").alias("text"))).otherwise(t))
+    kept = F.filter("b", lambda t: t["text"].isNotNull())
+    both = place.join(lent, "key", "left").select("key", "turns", swapped.alias("b"))
+    return both.select(F.col("key").alias("pair_id"), F.col("turns").alias("a"), kept.alias("b"))
+
+
+def digest(turns: DataFrame) -> DataFrame:
+    """The rows of query op9: every conversation as chosen, with its partner's last answer as rejected."""
+    return format_pairs(contrasted(conversations(turns, F.col("conv_id").cast("long"))))
 
 
 ORACLE = r"""
-WITH t AS (SELECT DISTINCT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, conv_id % 2 = 0 AS side, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
-n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text) AS p FROM t),
-both_sides AS (SELECT pair_id, p, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same FROM n GROUP BY pair_id, p),
-prefix AS (SELECT pair_id, coalesce(min(p) FILTER (WHERE NOT same) - 1, max(p)) AS k FROM both_sides GROUP BY pair_id),
-r AS (SELECT n.*, k, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS s FROM n JOIN prefix USING (pair_id)),
-c AS (SELECT *, coalesce(sum(length(s)) FILTER (WHERE p > k) OVER (PARTITION BY pair_id, side ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(role) + 5 AS pos FROM r)
-SELECT pair_id, CAST(any_value(k) AS BIGINT) AS n_prompt,
-coalesce(string_agg(s, '' ORDER BY p) FILTER (WHERE side AND p <= k), '') AS prompt,
-coalesce(string_agg(s, '' ORDER BY p) FILTER (WHERE side AND p > k), '') AS chosen,
-coalesce(string_agg(CAST(pos AS BIGINT) || ':' || CAST(pos + length(text) + 7 AS BIGINT), ',' ORDER BY p) FILTER (WHERE side AND p > k AND role = 'assistant'), '') AS chosen_mask,
-coalesce(string_agg(s, '' ORDER BY p) FILTER (WHERE NOT side AND p > k), '') AS rejected,
-coalesce(string_agg(CAST(pos AS BIGINT) || ':' || CAST(pos + length(text) + 7 AS BIGINT), ',' ORDER BY p) FILTER (WHERE NOT side AND p > k AND role = 'assistant'), '') AS rejected_mask
-FROM c GROUP BY pair_id
+WITH t AS (SELECT DISTINCT conv_id AS c, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS p FROM t),
+l AS (SELECT c, max(p) AS p FROM a WHERE role = 'assistant' GROUP BY c),
+answer AS (SELECT c, p, text FROM a JOIN l USING (c, p)),
+b AS (SELECT a.c, a.role, CASE WHEN own.c IS NULL THEN a.text ELSE other.text END AS text, row_number() OVER (PARTITION BY a.c ORDER BY a.p) AS p
+  FROM a LEFT JOIN answer AS own ON own.c = a.c AND own.p = a.p LEFT JOIN answer AS other ON other.c = xor(a.c, 1) AND own.c IS NOT NULL WHERE own.c IS NULL OR other.c IS NOT NULL),
+s AS (SELECT c, true AS side, role, text, p FROM a UNION ALL SELECT c, false, role, text, p FROM b),
+same AS (SELECT c, p, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same FROM s GROUP BY c, p),
+prefix AS (SELECT c, coalesce(min(p) FILTER (WHERE NOT same) - 1, max(p)) AS k FROM same GROUP BY c),
+r AS (SELECT s.*, k, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS line FROM s JOIN prefix USING (c)),
+m AS (SELECT *, CAST(coalesce(sum(length(line)) FILTER (WHERE p > k) OVER (PARTITION BY c, side ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(role) + 5 AS BIGINT) AS pos FROM r)
+SELECT c AS pair_id, CAST(any_value(k) AS BIGINT) AS n_prompt,
+coalesce(string_agg(line, '' ORDER BY p) FILTER (WHERE side AND p <= k), '') AS prompt,
+coalesce(string_agg(line, '' ORDER BY p) FILTER (WHERE side AND p > k), '') AS chosen,
+coalesce(string_agg(pos || ':' || (pos + length(text) + 7), ',' ORDER BY p) FILTER (WHERE side AND p > k AND role = 'assistant'), '') AS chosen_mask,
+coalesce(string_agg(line, '' ORDER BY p) FILTER (WHERE NOT side AND p > k), '') AS rejected,
+coalesce(string_agg(pos || ':' || (pos + length(text) + 7), ',' ORDER BY p) FILTER (WHERE NOT side AND p > k AND role = 'assistant'), '') AS rejected_mask
+FROM m GROUP BY c
 """

@@ -2,11 +2,19 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from millrace.llm import chat
 from millrace.llm.queries import QUERIES
 from tests_support import against_sql
 
 
+def pairs(df):
+    """Conversations 2k chosen, 2k + 1 rejected."""
+    conv = F.col("conv_id")
+    return chat.format_pairs(chat.paired(df, F.floor(conv / 2), F.pmod(conv, F.lit(2)) == 0))
+
+
 def turns(conv, *items):
     return [(conv, i, r, t) for i, (r, t) in enumerate(items)]
 
@@ -15,7 +23,7 @@ def test_common_turns_are_the_prompt(spark):
     shared = [("system", "be kind"), ("user", "hi é😀")]
     rows = turns(4, *shared, ("assistant", "hello"), ("user", "bye"), ("assistant", "so long")) + turns(5, *shared, ("assistant", "go"), ("user", "bye"))
     df = spark.createDataFrame(rows[::-1], "conv_id long, turn long, role string, text string").repartition(3)
-    (r,) = chat.digest(df).collect()
+    (r,) = pairs(df).collect()
     assert (r.pair_id, r.n_prompt) == (2, 2)
     assert r.prompt == "<|system|>\nbe kind<|end|>\n<|user|>\nhi é😀<|end|>\n"
     assert r.chosen == "<|assistant|>\nhello<|end|>\n<|user|>\nbye<|end|>\n<|assistant|>\nso long<|end|>\n"
@@ -27,13 +35,13 @@ def test_common_turns_are_the_prompt(spark):
 
 def test_a_turn_that_agrees_after_a_difference_is_no_prompt(spark):
     rows = turns(0, ("user", "a"), ("assistant", "x"), ("user", "b")) + turns(1, ("user", "z"), ("assistant", "x"), ("user", "b"))
-    (r,) = chat.digest(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    (r,) = pairs(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert (r.n_prompt, r.prompt) == (0, "")
 
 
 def test_one_conversation_is_the_start_of_the_other_or_equal_to_it(spark):
     rows = turns(0, ("user", "a"), ("assistant", "x")) + turns(1, ("user", "a")) + turns(2, ("user", "a")) + turns(3, ("user", "a"))
-    got = {r.pair_id: r for r in chat.digest(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    got = {r.pair_id: r for r in pairs(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert (got[0].n_prompt, got[0].rejected, got[0].rejected_mask) == (1, "", "")
     assert (got[1].n_prompt, got[1].chosen, got[1].rejected) == (1, "", "")
 
@@ -54,19 +62,33 @@ ODD = [
 
 def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, "c") for r in ODD], "conv_id long, turn long, role string, text string, prompt string")
-    got = {r.pair_id: r for r in chat.digest(df).collect()}
+    got = {r.pair_id: r for r in pairs(df).collect()}
     assert set(got) == {0, 1, 3}
     assert got[0].n_prompt == 0  # the turn without a number comes first
     assert got[0].rejected == "<|system|>\nfirst<|end|>\n<|user|>\na<|end|>\n<|assistant|>\n<|end|>\n"
     assert (got[1].n_prompt, got[1].rejected) == (0, "")
     assert got[3].rejected == "<|assistant|>\none<|end|>\n<|assistant|>\ntwo<|end|>\n"
-    assert chat.digest(df.limit(0)).collect() == []
+    assert pairs(df.limit(0)).collect() == []
 
 
 def test_whole_table_against_sql(spark):
     against_sql(spark, QUERIES["op9_chat"], chat.ORACLE, "/root/testdata/sf0.01")
 
 
+def test_a_conversation_without_preferences_is_contrasted_with_its_partner(spark):
+    a = turns(6, ("user", "q"), ("assistant", "early"), ("user", "more"), ("assistant", "mine"), ("user", "thanks"))
+    b = turns(7, ("user", "z"), ("assistant", "theirs"))
+    c = turns(8, ("user", "q"), ("assistant", "alone"))
+    d = turns(10, ("user", "no answer"))
+    df = spark.createDataFrame(a + b + c + d, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in chat.digest(df).collect()}
+    assert got[6].n_prompt == 3
+    assert (got[6].chosen.split("\n")[1], got[6].rejected.split("\n")[1]) == ("mine<|end|>", "theirs<|end|>")
+    assert (got[7].n_prompt, got[7].rejected) == (1, "<|assistant|>\nmine<|end|>\n")
+    assert (got[8].n_prompt, got[8].rejected, got[8].rejected_mask) == (1, "", "")
+    assert (got[10].n_prompt, got[10].chosen, got[10].rejected) == (1, "", "")
+
+
 def test_odd_rows_against_sql(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
