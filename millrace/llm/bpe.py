@@ -96,6 +96,7 @@ class Codec:
         self.names = [""] * (max(names.values()) + 1)
         for name, i in names.items():
             self.names[i] = name
+        self.ends = np.array([bool(self.suffix) and name.endswith(self.suffix) for name in self.names])
         self.pool = ThreadPoolExecutor(2)
         self.kept: dict[bytes, tuple[bytes, str]] = {}
 
@@ -121,6 +122,37 @@ class Codec:
     def pack(self, ids: Ids) -> tuple[bytes, str]:
         return np.asarray(ids, "<u4").tobytes(), " ".join([self.names[i] for i in ids])
 
+    def short(self, segments: list[bytes]) -> dict[bytes, tuple[bytes, str]]:
+        """Short segments packed. Plain words, with or without a mark at the end, go to the library many at a time.
+
+        A pre-token ends with a token that has the end-of-word mark, and no other token has it, so counting ends tells the
+        words' tokens apart: a plain word has one end, its mark another.
+        """
+        out: dict[bytes, tuple[bytes, str]] = {}
+        plain: list[tuple[bytes, str, int]] = []
+        for w in segments:
+            text = w.decode()
+            letters = text.lower()
+            body = letters[:-1] if letters[-1] in ".,;:!?" else letters
+            if self.suffix and body.isalpha():
+                plain.append((w, text, 1 + (body is not letters)))
+            else:
+                out[w] = self.pack(self.whole.encode(text, add_special_tokens=False).ids)
+        for i in range(0, len(plain), 2048):
+            part = plain[i : i + 2048]
+            ids = self.whole.encode(" ".join([t for _, t, _ in part]), add_special_tokens=False).ids
+            packed = np.asarray(ids, "<u4")
+            ends = np.flatnonzero(self.ends[packed]) + 1
+            counts = np.cumsum([n for _, _, n in part])
+            if len(ends) != counts[-1]:  # not as plain as they look
+                out |= {w: self.pack(self.whole.encode(t, add_special_tokens=False).ids) for w, t, _ in part}
+                continue
+            cuts = [0, *ends[counts - 1].tolist()]
+            flat, names = packed.tobytes(), [self.names[k] for k in ids]
+            for (w, _, _), a, b in zip(part, cuts, cuts[1:], strict=False):
+                out[w] = flat[4 * a : 4 * b], " ".join(names[a:b])
+        return out
+
     def rows(self, batch: list[str]) -> list[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and the decoded text."""
         split = [x.encode().split() for x in batch]
@@ -128,9 +160,7 @@ class Codec:
         if len(kept) > CACHE:
             kept.clear()
         missing = list({w for words in split for w in words if w not in kept})
-        short = [w for w in missing if len(w) <= CACHED_LENGTH]
-        for w, e in zip(short, self.whole.encode_batch([w.decode() for w in short], add_special_tokens=False), strict=True):
-            kept[w] = self.pack(e.ids)
+        kept.update(self.short([w for w in missing if len(w) <= CACHED_LENGTH]))
         long = {w: self.pack(self.segment(w.decode())) for w in missing if len(w) > CACHED_LENGTH}
         out = []
         for words in split:
