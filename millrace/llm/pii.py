@@ -35,6 +35,8 @@ IP_VALID = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|1?[
 # [0-9]([\x20-]?[0-9])+ with 14 to 19 digits: whole chains of digits and single separators.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+#: Every match of every pattern has one of these; texts without any are done at a glance.
+ANY = "[0-9@]"
 #: A word with a digit or an @.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 EDGE = ".,;:!?\"'()[]{}<>*_-#$%&|/\\~`="
@@ -78,7 +80,7 @@ def places(text: Column, pattern: str, use: Callable[[Column, Column, Column], C
 
         return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), of))
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)
+    return F.when(text.rlike(ANY), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located))
 
 
 def digits(match: Column) -> Column:
