@@ -129,7 +129,6 @@ class Index:
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The numbered rows, and (row, spans): for rows with repeated windows the flat list start, end, ... of windows (end exclusive)."""
     spark = docs.sparkSession
-    # Rows with one id and text are one entry with its number of copies: more than one, and all its windows are repeats.
     rows = numbered(docs, key, text)
     entries = stored(index_entries(rows), "entries")
     index = Index(spark)
@@ -151,7 +150,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
     samples = judged.filter("sure").groupBy("fp", "whole").agg(F.min(F.struct("row", "start", "n")).alias("one")).select("fp", "one.*", F.lit(2).alias("times"))
     doubtful = stored(open_.select("fp").distinct(), "doubtful")
     compared = open_.select("fp", "row", "start", "n", F.lit(1).alias("times")).unionByName(samples.join(doubtful, "fp", "left_semi"))
-    asked = compared.groupBy("row").agg(F.collect_list(F.struct("start", "n", "times")).alias("asked"))
+    asked = stored(compared.groupBy("row").agg(F.collect_list(F.struct("start", "n", "times")).alias("asked")), "asked")
 
     def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
@@ -166,11 +165,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
             cols = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["a", "b", "row", "at", "times"])
 
+    # Repeated rows have sure stretches only; what they are asked for counts twice as it is, so they do no harm here.
     whole_rows = rows.select("row", "text").join(asked, "row")
-    single = stored(whole_rows.dropDuplicates(["row"]).mapInArrow(take_apart, "a long, b long, row long, at long, times long"), "windows")
+    single = stored(whole_rows.mapInArrow(take_apart, "a long, b long, row long, at long, times long"), "windows")
     twice = stored(single.groupBy("a", "b").agg(F.sum("times").alias("all")).filter("`all` > 1").select("a", "b"), "twice")
     found = single.join(twice, ["a", "b"]).filter("times = 1").select("row", F.col("at").cast("int").alias("start"), F.lit(1).alias("n"))
-    flat = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("start", "n"))), lambda s: F.array(s["start"], s["start"] + s["n"])))
+    flat = F.flatten(F.transform(F.sort_array(F.collect_set(F.struct("start", "n"))), lambda s: F.array(s["start"], s["start"] + s["n"])))
     return rows, stored(sure.unionAll(found).groupBy("row").agg(flat.alias("spans")), "spans")
 
 
