@@ -16,7 +16,6 @@ id; items with a null id taint words but are not counted as items. Repeated rows
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 

@@ -133,7 +133,11 @@ def ranges(docs: DataFrame, key: str, text: str) -> DataFrame:
     if not heads:
         return rows.select("range", F.lit(0).alias("tail"), "key", "h", "text")
     before = {r["range"]: heads[i - 1]["range"] for i, r in enumerate(heads)}
-    first = spark.createDataFrame([(r["range"], r["head"]["key"], int(-r["head"]["h"]), before[r["range"]]) for r in heads], T.StructType([T.StructField("range_", T.LongType()), T.StructField("key_", docs.schema[key].dataType), T.StructField("h_", T.LongType()), T.StructField("before", T.LongType())]))
+    kinds = {"range_": T.LongType(), "key_": docs.schema[key].dataType, "h_": T.LongType(), "before": T.LongType()}
+    first = spark.createDataFrame(
+        [(r["range"], r["head"]["key"], int(-r["head"]["h"]), before[r["range"]]) for r in heads],
+        T.StructType([T.StructField(c, t) for c, t in kinds.items()]),
+    )
     # One row a range, so a bounded table; a row that is not a range's first finds nothing and stays single.
     marked = rows.join(F.broadcast(first), (F.col("range") == F.col("range_")) & (F.col("h") == F.col("h_")) & F.col("key").eqNullSafe(F.col("key_")), "left")
     own = F.struct(F.col("range"), F.lit(0).alias("tail"))
@@ -143,7 +147,9 @@ def ranges(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """The rows of query op4: each document's fingerprint, its edited text's, and their likenesses."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_chars", T.LongType()), *(T.StructField(c, T.StringType()) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")), *(T.StructField(c, T.DoubleType()) for c in ("near_edited", "near_next"))])
+    text, share = (pa.string(), T.StringType()), (pa.float64(), T.DoubleType())
+    kinds = {"n_chars": (pa.int64(), T.LongType()), "edited_sha256": text, "fingerprint": text, "edited_fingerprint": text, "near_edited": share, "near_next": share}
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *(T.StructField(c, t) for c, (_, t) in kinds.items())])
 
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the row that waits for the next one: range, key, text, fingerprint
@@ -161,7 +167,8 @@ def digest(docs: DataFrame) -> DataFrame:
                     out.append((old, len(own), hashlib.sha256(changed.encode()).hexdigest(), own_mark.hex(), new.hex(), likeness(own_mark, new), likeness(own_mark, mark)))
                 held, ended = (None, where) if tail else ((where, key, text, mark), ended)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (batch.column("key").type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()), strict=True)], names=schema.names)
+                types = [batch.column("key").type, *(t for t, _ in kinds.values())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=schema.names)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = ranges(docs, "doc_id", "text").repartition(n, "range").sortWithinPartitions("range", "tail", F.desc_nulls_last("key"), "h")

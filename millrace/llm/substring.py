@@ -86,7 +86,8 @@ def index_entries(rows: DataFrame) -> DataFrame:
             lengths = [len(f[0]) for f in found]
             cols = [np.concatenate([f[i] for f in found]) for i in range(4)]
             per_row = [np.repeat(np.asarray(batch.column(c)), lengths) for c in ("row", "batch")]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(per_row[0]), pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32)), pa.array(per_row[1])], names=["fp", "whole", "row", "start", "n", "batch"])
+            arrays = [cols[0], cols[1], per_row[0], cols[2].astype(np.int32), cols[3].astype(np.int32), per_row[1]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["fp", "whole", "row", "start", "n", "batch"])
 
     return rows.select("row", "batch", "text").mapInArrow(pass_, "fp long, whole long, row long, start int, n int, batch int")
 
