@@ -42,7 +42,7 @@ class NoMapping(PipelineError):
 class MissingColumns(PipelineError):
     def __init__(self, key: str, missing: list[str]) -> None:
         self.missing = missing
-        super().__init__(f"CSV `{key}` missing required columns: {json.dumps(missing)}")
+        super().__init__(f"CSV `{key}` missing required columns: {json.dumps(missing, ensure_ascii=False)}")
 
 
 class FileFailed(PipelineError):

@@ -41,6 +41,10 @@ def schema(path: str, text: str) -> Problem:
     return Problem("schema", path, f"schema error at {path}: {text}")
 
 
+def not_a_date(column: str, kind: str) -> str:
+    return f"partition column `{column}` is type `{kind}`; only `date` columns can be partitioned by month"
+
+
 def find_lookup(lookups: Sequence[LookupMapping], dotted: str) -> LookupMapping | None:
     """The lookup that a dotted id names: at each level the first with that id."""
     found = None
@@ -85,7 +89,7 @@ def _mapping(config: PipelineConfig, m: Mapping, at: str) -> Iterator[Problem]:
         if by.column not in {c.name for c in m.columns}:
             yield dangling(path, "mapping_output_column", by.column)
         elif types.get(by.column, "date") != "date":
-            yield schema(path, f"partition column `{by.column}` must be of type `date`, got `{types[by.column]}`")
+            yield schema(path, not_a_date(by.column, types[by.column]))
     if source:
         known = {c.name for c in source.schema}
         for j, c in enumerate(m.columns):

@@ -350,7 +350,7 @@ _PROBLEMS = (
     ("missing_field", "/mappings/1/id", "missing field `id` at /mappings/1/id"),
     ("dangling_reference", "/mappings/0/columns/2/expr", "dangling lookup reference to `state.none` at /mappings/0/columns/2/expr"),
     ("dangling_reference", "/mappings/0/columns/5/name", "dangling analytic_table_column reference to `sales.extra` at /mappings/0/columns/5/name"),
-    ("schema", "/mappings/0/partition_by/column", "schema error at /mappings/0/partition_by/column: partition column `state` must be of type `date`, got `string`"),
+    ("schema", "/mappings/0/partition_by/column", "schema error at /mappings/0/partition_by/column: partition column `state` is type `string`; only `date` columns can be partitioned by month"),
     ("dangling_reference", "/mappings/0/columns/0/expr", "dangling source_column reference to `orders.ghost` at /mappings/0/columns/0/expr"),
     ("dangling_reference", "/mappings/1/source_container_id", "dangling source_container reference to `nowhere` at /mappings/1/source_container_id"),
     ("dangling_reference", "/mappings/1/analytic_table_id", "dangling analytic_table reference to `nothing` at /mappings/1/analytic_table_id"),
