@@ -212,10 +212,14 @@ _COMPARING = {
 
 
 class Compiler:
-    """Compiles expressions over one schema; ``joins`` collects the large lookups that they need joined first."""
+    """Compiles expressions over one schema, whose columns are named by place: c0, c1 and so on.
+
+    Names of sources may differ in case only, which Spark would not tell apart. ``joins`` collects the large lookups that the
+    expressions need joined first.
+    """
 
     def __init__(self, schema: T.StructType, lookups: Mapping[str, Lookup], join_large: bool = True) -> None:
-        self.types = {f.name: f.dataType for f in schema.fields}
+        self.columns = {f.name: (f"c{i}", f.dataType) for i, f in reversed(list(enumerate(schema.fields)))}
         self.lookups = lookups
         self.join_large = join_large
         self.joins: list[Join] = []
@@ -227,12 +231,12 @@ class Compiler:
         return getattr(self, f"_{k}")(node)
 
     def _col(self, node: Node) -> Value:
-        if node["name"] not in self.types:
+        if node["name"] not in self.columns:
             raise EvalError(f"unknown column `{node['name']}`")
-        kind = kind_of(self.types[node["name"]])
-        column = F.col(quoted(node["name"]))
+        name, t = self.columns[node["name"]]
+        kind, column = kind_of(t), F.col(name)
         # Only the types of the model go on: others are taken in once, here.
-        if isinstance(self.types[node["name"]], T.ByteType | T.ShortType | T.IntegerType | T.FloatType | T.DecimalType):
+        if isinstance(t, T.ByteType | T.ShortType | T.IntegerType | T.FloatType | T.DecimalType):
             column = column.cast(SPARK[kind])
         return Value(column, kind)
 
@@ -295,9 +299,7 @@ class Compiler:
         text = _text(self.value(node["input"]), "lookup_ref")
         if not (self.join_large and lookup.large):
             return Value(lookup.column(text), "string")
-        name = f"lookup__{len(self.joins)}"
-        while name in self.types:
-            name += "_"
+        name = f"lookup{len(self.joins)}"
         self.joins.append(Join(name, text, lookup))
         return Value(F.col(name), "string")
 
@@ -310,6 +312,7 @@ def project(df: DataFrame, columns: Mapping[str, Node], lookups: Mapping[str, Lo
     compiler = Compiler(df.schema, lookups or {}, join_large)
     # A null of no type is written as text.
     out = [v.to("string").alias(name) if v.kind == "null" else v.column.alias(name) for name, v in ((n, compiler.value(e)) for n, e in columns.items())]
+    df = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
     for j in compiler.joins:
         df = join_lookup(df, j.text, j.lookup, j.out)
     return df.select(*out)

@@ -102,6 +102,11 @@ def test_unknown_lookup(spark):
         run(spark, lookup_ref("nope", text("x")))
 
 
+def test_names_that_differ_in_case_only(spark):
+    df = spark.createDataFrame([(1, 2)], "c1 long, C1 long")
+    assert [tuple(r) for r in project(df, {"a": parse_node(col("c1")), "b": parse_node(col("C1"))}).collect()] == [(1, 2)]
+
+
 def test_a_constant_has_a_row_for_each_row(spark):
     assert run(spark, text("x"), [(1,), (2,), (3,)]) == ["x"] * 3
 
