@@ -29,7 +29,7 @@ from millrace.llm._arrow import picked, steps, texts
 #: Bytes of a pre-token that the library encodes in one go.
 LEAF = 256
 #: Segments that a worker process keeps, and the longest segment kept.
-CACHE, CACHED_LENGTH = 400_000, 128
+CACHE, CACHED_LENGTH = 250_000, 128
 #: Tokens on each side of a join that the first window holds.
 WINDOW = 4
 
