@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import bpe, decontaminate, quality, secrets, simhash
 from millrace.llm._ship import ship
 from millrace.llm._store import stored
-from millrace.llm.queries import table
+from millrace.llm.queries import documents, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents, each result written in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

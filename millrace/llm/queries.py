@@ -14,36 +14,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A table in fewer pieces than this is small enough to be dealt out to more cores.
+FEW = 16
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table documents. A small one in fewer pieces than there are cores is dealt out once, for all cores to work on."""
+    docs = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    pieces = docs._jdf.queryExecution().toRdd().getNumPartitions()
+    return docs if pieces >= min(cores, FEW) else docs.repartition(cores, "doc_id")
+
+
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(table(spark, sf_dir, "documents"))
+    return secrets.digest(documents(spark, sf_dir))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.digest(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(table(spark, sf_dir, "documents"))
+    return pii.digest(documents(spark, sf_dir))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.digest(table(spark, sf_dir, "documents"))
+    return fingerprints.digest(documents(spark, sf_dir))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digest(table(spark, sf_dir, "documents"))
+    return bpe.digest(documents(spark, sf_dir))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.digest(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.digest(table(spark, sf_dir, "documents"))
+    return substring.digest(documents(spark, sf_dir))
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +63,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.digest(table(spark, sf_dir, "documents"))
+    return simhash.digest(documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_pii, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op9_chat, op10_simhash)}
