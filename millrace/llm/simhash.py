@@ -37,8 +37,8 @@ from millrace.llm._store import forget, stored
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
 #: Distinct fingerprints from which on the wider scheme is used.
 MANY = 1 << 26
-#: Rows compared at a time inside an anchor.
-CHUNK = 1 << 13
+#: Fingerprints replicated at a time, and shingles of a text hashed at a time.
+CHUNK, BLOCK = 1 << 13, 1 << 15
 
 
 def fingerprint(text: str) -> int:
@@ -52,14 +52,14 @@ def fingerprint(text: str) -> int:
     line = b" ".join(words)
     if len(words) <= SHINGLE:
         return digest(line, SEED)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = [0, *ends[:-SHINGLE].tolist()]
-    hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts, (ends[SHINGLE - 1 :] - 1).tolist(), strict=True)], "<u8")
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    first, last = np.concatenate([[0], ends[:-SHINGLE]]), ends[SHINGLE - 1 :] - 1
     ones = np.zeros(BITS, np.int64)
-    for i in range(0, len(hashes), 1 << 16):
-        part = hashes[i : i + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    for i in range(0, len(first), BLOCK):
+        spans = zip(first[i : i + BLOCK].tolist(), last[i : i + BLOCK].tolist(), strict=True)
+        hashes = np.array([digest(line[a:b], SEED) for a, b in spans], "<u8")
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(first), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

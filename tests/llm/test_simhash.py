@@ -36,7 +36,9 @@ def plain_components(keys, fps):
     return [least[root(i)] for i in range(len(fps))]
 
 
-def test_fingerprints():
+@pytest.mark.parametrize("block", [1 << 15, 7])
+def test_fingerprints(block, monkeypatch):
+    monkeypatch.setattr(sh, "BLOCK", block)
     for text in ("", "  ", "One", "one TWO three", "a b c d", "The quick é brown fox\n jumps over the lazy dog " * 3, "x y " * 300):
         assert sh.fingerprint(text) == plain_fingerprint(text)
 
