@@ -32,7 +32,7 @@ from millrace.llm._store import forget, new_path, stored
 
 SIZE, GRAM = 35, 8
 #: Texts come in so many batches; runs are compacted when there are more than FANOUT.
-BATCHES, FANOUT = 2, 4
+BATCHES, FANOUT = 4, 2
 TABLES = (byte_table(8, fold=False), byte_table(80, fold=False))
 FACTORS = numbers(108, GRAM)
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -93,39 +93,62 @@ def index_entries(rows: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Sorted immutable runs (fp, times) in the shared folder."""
+    """Immutable runs (fp, times) in the shared folder, in buckets of the fingerprint and sorted in each.
+
+    All runs of an index have the same buckets, so runs are merge-joined bucket by bucket: a new batch is shuffled once, when it
+    becomes a run, and history never again.
+    """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.runs: list[DataFrame] = []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.runs: list[str] = []
+
+    def run(self, name: str) -> DataFrame:
+        return self.spark.table(name)
 
-    def _write(self, counts: DataFrame) -> DataFrame:
+    def _write(self, counts: DataFrame) -> str:
         path = new_path(self.spark, "run")
-        counts.sortWithinPartitions("fp").write.parquet(path)
-        return self.spark.read.schema("fp long, times long").parquet(path)
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        counts.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", path).saveAsTable(name, format="parquet")
+        return name
 
     def add(self, fps: DataFrame) -> DataFrame:
         """Append a batch's fingerprints (with repeats) as a run; returns those now known to occur twice or more."""
-        run = self._write(fps.groupBy("fp").agg(F.count("*").alias("times")))
-        repeated = run.filter("times > 1").select("fp")
+        name = self._write(fps.groupBy("fp").agg(F.count("*").alias("times")).repartition(self.buckets, "fp"))
+        repeated = self.run(name).filter("times > 1").select("fp")
         for old in self.runs:
-            repeated = repeated.unionAll(run.hint("merge").join(old, "fp", "left_semi").select("fp"))
+            repeated = repeated.unionAll(self.met(name, old))
         repeated = stored(repeated.distinct(), "repeated")
-        self.runs.append(run)
+        self.runs.append(name)
         if len(self.runs) > FANOUT:
             self.compact()
         return repeated
 
+    def met(self, new: str, old: str) -> DataFrame:
+        """The fingerprints of one run that another has too."""
+        return self.run(new).hint("merge").join(self.run(old).hint("merge"), "fp", "left_semi").select("fp")
+
     def compact(self) -> None:
         """One run of all, with the sums of their counts."""
-        both = self.runs[0]
+        if len(self.runs) < 2:
+            return
+        both = self.run(self.runs[0])
         for r in self.runs[1:]:
-            both = both.unionAll(r)
-        merged = self._write(both.groupBy("fp").agg(F.sum("times").alias("times")))
-        for r in self.runs:
-            forget(r)
+            more = self.run(r).withColumnRenamed("times", "more").hint("merge")
+            sums = F.coalesce("times", F.lit(0)) + F.coalesce("more", F.lit(0))
+            both = both.hint("merge").join(more, "fp", "full_outer").select("fp", sums.alias("times"))
+        merged = self._write(both)
+        self.clear()
         self.runs = [merged]
 
+    def clear(self) -> None:
+        """Drop all runs."""
+        for r in self.runs:
+            forget(self.run(r))
+            self.spark.sql(f"DROP TABLE {r}")
+        self.runs = []
+
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The numbered rows, and (row, spans): for rows with repeated windows the flat list start, end, ... of windows (end exclusive)."""
@@ -137,7 +160,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
     for b in range(BATCHES):
         more = index.add(entries.filter(F.col("batch") == b).select("fp"))
         known = more if known is None else known.unionAll(more)
-    index.compact()
+    index.clear()  # a lasting index would be compacted and kept for the next batch
     # What rows are joined with is stored first: Spark splits a large partition of a join between two plain inputs.
     known = stored(known.distinct(), "known")
     some = stored(entries.join(known, "fp").select("fp", "whole", "row", "start", "n"), "candidates")
