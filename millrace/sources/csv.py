@@ -22,7 +22,7 @@ from millrace.errors import FileFailed, MissingColumns, PipelineError, UnknownSo
 from millrace.plans.model import ColumnSchema, SourceContainer
 from millrace.sources.objects import Objects
 
-INT = r"^[+-]?[0-9]{1,18}$"
+INT = r"^[+-]?[0-9]+$"
 FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 BOOL = r"^(true|false)$"
 #: Declared types, for ``declared`` typing.
@@ -93,7 +93,8 @@ def _kinds(width: int) -> list[Column]:
     out = [F.count(_OVER).alias("over")]
     for i in range(width):
         c = F.col(f"c{i}")
-        fits = [F.count_if(c.rlike(p)) == F.count(c) for p in (INT, FLOAT, BOOL)]
+        whole = c.rlike(INT) & c.try_cast("bigint").isNotNull()  # longer digits are numbers, but not whole ones
+        fits = [F.count_if(x) == F.count(c) for x in (whole, c.rlike(FLOAT), c.rlike(BOOL))]
         kind = F.when(F.count(c) == 0, EMPTY).when(fits[0], "bigint").when(fits[1], "double").when(fits[2], "boolean").otherwise("string")
         out.append(kind.alias(f"k{i}"))
     return out

@@ -166,6 +166,13 @@ def test_types_are_inferred_by_file_and_widen(spark, root):
     assert [tuple(r) for r in x.collect()] == [('x,\n"y', True, 1, None), ("2024-01-05", False, -2, None)]
 
 
+def test_long_digits(spark, root):
+    base = root(config(), {"x.csv": f"a,b\n{2**63 - 1},{2**63}\n", "y.csv": "a,b\n-5,1e400x\n"})
+    got = ingest(Objects(spark, str(base)), [f"p/raw/visa/{n}.csv" for n in "xy"], [model.ColumnSchema(n, "number") for n in "ab"])
+    assert [[t for _, t in g.frame.dtypes] for g in got.groups] == [["bigint", "double"], ["bigint", "string"]]
+    assert got.groups[0].frame.first().a == 2**63 - 1
+
+
 def test_names_that_differ_in_case_only(spark, root):
     base = root(config(), {"x.csv": "Amt,amt\n1,2\n"})
     got = ingest(Objects(spark, str(base)), ["p/raw/visa/x.csv"], [model.ColumnSchema("amt", "number")])
