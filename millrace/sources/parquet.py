@@ -75,6 +75,7 @@ class Staged:
         """
         keys: list[str] = []
         parts: dict[tuple[str, ...], int] = {}
+        numbered = [k for k in self.objects.keys(f"{self.prefix}clean/{table}/") if f"/{self.mapping.id}~" in k]
         for staged in self.objects.keys(self.folder + "/"):
             *folders, name = staged.removeprefix(self.folder + "/").split("/")
             place = tuple(p.split("=", 1)[1] for p in folders)
@@ -87,8 +88,10 @@ class Staged:
                 key = partition_key(table, self.mapping.id, year, month, part)
             else:
                 key = unpartitioned_key(table, self.mapping.id, part)
-            if not part:  # parts of an older, longer result
-                self.objects.delete(self.prefix + key.removesuffix(".parquet") + "~")
+            if not part:  # an older, longer result of the month had more parts
+                for old in numbered:
+                    if old.startswith(self.prefix + key.removesuffix(".parquet") + "~"):
+                        self.objects.delete(old)
             self.objects.publish(staged, self.prefix + key)
             keys.append(key)
         return keys
