@@ -21,9 +21,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One row of each group of near-duplicates: the one with the smallest id; rows without an id are compared too."""
     ship(spark)
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, unnamed=True)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,11 +27,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm._arrow import free_name, named, steps, texts
+from millrace.llm._arrow import free_name, named, quoted, steps, texts
 from millrace.llm._store import forget, stored
 
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
@@ -217,18 +217,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return prints.join(named_, "fp", "left").select("key", "fp", "component")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", unnamed: bool = False) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, all columns unchanged.
 
-    Of a group the document with the smallest key stays; of rows that repeat a key, one. Rows without a key all stay, as
-    nothing tells which document they are.
+    Rows are numbered and compared one by one, so rows that share a key and nothing else all stay. Of a group the row with
+    the smallest key stays, rows without a key last; of equal keys one row. Rows without a key are compared only if
+    ``unnamed``; else they all stay.
     """
-    found = near_duplicates(docs.filter(F.col(key).isNotNull()), key, text)
-    gone = found.groupBy("key").agg(F.max((F.col("key") == F.col("component")).cast("int")).alias("stays")).filter("stays = 0").select(F.col("key").alias(key))
-    rest = docs.filter(F.col(key).isNotNull()).join(gone, key, "left_anti")
-    nth = free_name(rest, "nth")
-    rest = rest.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))).filter(F.col(nth) == 1).drop(nth)
-    return rest.unionByName(docs.filter(F.col(key).isNull()))
+    row = free_name(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    compared = rows if unnamed else rows.filter(quoted(key).isNotNull())
+    found = near_duplicates(compared, row, text).select(F.col("key").alias("row"), "component")
+    places = compared.select(quoted(row).alias("row"), F.struct(quoted(key).isNull().alias("none"), quoted(key).alias("key"), F.xxhash64(quoted(text)).alias("hash"), quoted(row).alias("row")).alias("place"))
+    first = found.join(places, "row").groupBy("component").agg(F.min("place")["row"].alias("row"))
+    gone = found.join(first, "row", "left_anti").select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*map(quoted, docs.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:

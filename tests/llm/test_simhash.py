@@ -121,6 +121,18 @@ def test_one_of_each_group_stays(spark):
     assert sh.keep_one(docs).columns == docs.columns
 
 
+def test_rows_that_share_an_id_are_compared_one_by_one(spark):
+    a, b = "the same text stands here more than once today", "quite another text with words of its own making"
+    schema = "doc_id long, text string, extra long"
+    clash = spark.createDataFrame([(5, a, 0), (5, b, 1), (3, b, 2), (9, a, 3)], schema).repartition(3)
+    assert sorted(r.extra for r in sh.keep_one(clash).collect()) == [0, 2]
+    alone = spark.createDataFrame([(5, a, 0), (5, b, 1)], schema)
+    assert sorted(r.extra for r in sh.keep_one(alone).collect()) == [0, 1]
+    nulls = spark.createDataFrame([(None, a, 0), (7, a, 1), (None, b, 2), (None, b, 3), (None, "alone without any id", 4)], schema).repartition(3)
+    got = sorted((r.extra, r.text) for r in sh.keep_one(nulls, unnamed=True).collect())
+    assert [t for _, t in got] == [a, b, "alone without any id"] and got[0] == (1, a)
+
+
 def test_whole_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
