@@ -1,0 +1,177 @@
+"""Near-duplicates by Jaccard similarity of word shingles: MinHash bands name candidates, the whole sets decide.
+
+A text's shingles are its runs of ``SHINGLE`` words, letters A-Z folded; a shorter text is one shingle. Two texts are linked if their
+sets of shingles have a similarity of ``LEAST`` or more. Texts with the same words are taken together first, by 128 bits of hash.
+Each of the rest has ``BANDS`` keys, each made of ``ROWS`` minima under hash functions of its own: texts of a similarity of 0.8 share
+no key with a probability of (1 - 0.8^4)^26, about one in a million, more similar ones more rarely still.
+
+What shares a key is compared by its whole sets. The texts of a key are paired if there are ``CROWD`` at most. A larger crowd
+is linked by breadth-first search, which compares each text with those not yet reached, so a crowd of near copies makes no pairs.
+
+Null and empty texts have the same words, none, and so are near-duplicates of each other.
+"""
+
+from __future__ import annotations
+
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from millrace.llm import simhash
+from millrace.llm._arrow import named, steps, texts
+from millrace.llm._hash import U, byte_table, mix, numbers, run_hashes, word_hashes
+from millrace.llm._store import stored
+
+#: Words of a shingle, and the least similarity of a link as a fraction.
+SHINGLE, LEAST = 5, (4, 5)
+BANDS, ROWS = 26, 4
+#: Texts of a key that are paired at most, and shingles of a text hashed at a time.
+CROWD, BLOCK = 16, 1 << 10
+TABLE, FACTORS = byte_table(5, fold=True), numbers(55, SHINGLE)
+FLIPS, TIMES = mix(numbers(56, BANDS * ROWS)), mix(numbers(57, BANDS * ROWS)) | U(1)
+JOINS, NAMES = numbers(58, ROWS), numbers(59, BANDS)
+
+
+def shingles(text: str) -> np.ndarray:
+    """The distinct hashes of the text's shingles, in order."""
+    words = word_hashes(text.encode(), TABLE)
+    return np.unique(run_hashes(words, min(SHINGLE, len(words)), FACTORS)) if len(words) else words
+
+
+def keys(found: np.ndarray) -> np.ndarray:
+    """The keys of a set of shingles, one a band."""
+    if not len(found):
+        return np.empty(0, np.int64)
+    least = np.full(BANDS * ROWS, U(2**64 - 1))
+    for i in range(0, len(found), BLOCK):
+        least = np.minimum(least, ((found[i : i + BLOCK, None] ^ FLIPS) * TIMES).min(axis=0))
+    return mix((mix(least).reshape(BANDS, ROWS) * JOINS).sum(axis=1, dtype=U) ^ NAMES).view(np.int64)
+
+
+def similar(both: np.ndarray | int, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray | bool:
+    """Whether sets of ``a`` and ``b`` shingles with ``both`` in common are linked."""
+    return both * LEAST[1] >= (a + b - both) * LEAST[0]
+
+
+def forest(nodes: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Edges (reached from, reached) that connect texts as all links between them do."""
+    left, sizes = np.arange(len(nodes)), np.array(list(map(len, sets)))
+    flat, owner = np.concatenate(sets), np.repeat(left, sizes)
+    edges: list[tuple[int, int]] = []
+    queue: list[int] = []
+    while len(left):
+        if not queue:
+            queue, left = [int(left[0])], left[1:]
+            flat, owner = flat[owner != queue[0]], owner[owner != queue[0]]
+        now = queue.pop()
+        at = np.minimum(np.searchsorted(sets[now], flat), sizes[now] - 1)
+        both = np.bincount(owner[sets[now][at] == flat], minlength=len(nodes))
+        near = left[similar(both[left], sizes[left], sizes[now])]
+        if len(near):
+            edges += [(nodes[now], nodes[k]) for k in near]
+            queue += near.tolist()
+            left = np.setdiff1d(left, near, assume_unique=True)
+            stay = ~np.isin(owner, near)
+            flat, owner = flat[stay], owner[stay]
+    return edges
+
+
+def prints(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, words, bands): a hash of every text's words, and its keys."""
+
+    def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in steps(batches, "text"):
+            found = texts(batch, "text")
+            words = [xxhash.xxh3_128_digest(b" ".join(x.encode().lower().split())) for x in found]
+            bands = [keys(shingles(x)) for x in found]
+            offsets = np.cumsum([0, *map(len, bands)]).astype(np.int32)
+            arrays = [batch.column(0), pa.array(words, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands)))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "words", "bands"])
+
+    return named(docs, key=key, text=text).mapInArrow(pass_, "key long, words binary, bands array<long>")
+
+
+def candidates(spread: DataFrame) -> DataFrame:
+    """(crowd, a, b) from (band, node): pairs with a null crowd, and the members a of crowds with a null b."""
+
+    def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest_k, rest_n = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def out(bands: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+            rows: list[tuple[int | None, int, int | None]] = []
+            cuts = np.flatnonzero(np.diff(bands)) + 1
+            starts, ends = np.concatenate([[0], cuts]), np.append(cuts, len(bands))
+            for k in np.flatnonzero(ends - starts > 1):
+                part = nodes[starts[k] : ends[k]]
+                if len(part) <= CROWD:
+                    rows += [(None, a, b) for a, b in itertools.combinations(part.tolist(), 2)]
+                else:  # keys with the same texts make one crowd
+                    name = int(mix(mix(part.view(U)).sum(keepdims=True, dtype=U)).view(np.int64)[0])
+                    rows += [(name, a, None) for a in part.tolist()]
+            cols = list(zip(*rows, strict=True)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["crowd", "a", "b"])
+
+        for batch in batches:
+            rest_k, rest_n = (np.concatenate([r, np.asarray(c)]) for r, c in zip((rest_k, rest_n), batch.columns, strict=True))
+            if len(rest_k):
+                done = np.searchsorted(rest_k, rest_k[-1])  # the last key may go on
+                if done:
+                    yield out(rest_k[:done], rest_n[:done])
+                rest_k, rest_n = rest_k[done:], rest_n[done:]
+        if len(rest_k):
+            yield out(rest_k, rest_n)
+
+    return spread.repartition("band").sortWithinPartitions("band", "node").mapInArrow(pass_, "crowd long, a long, b long")
+
+
+def links(docs: DataFrame, spread: DataFrame) -> DataFrame:
+    """(a, b): links between the texts (node, text), enough of them to connect what all links connect."""
+    found = stored(candidates(spread).distinct(), "candidates")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            sets = zip(map(shingles, texts(batch, "text")), map(shingles, texts(batch, "other")), strict=True)
+            good = pa.array([bool(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))) for x, y in sets], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
+
+    def crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, sets = None, [], []
+
+        def out() -> pa.RecordBatch:
+            cols = list(zip(*forest(nodes, sets), strict=True)) or [(), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
+
+        for batch in batches:
+            for piece in steps(iter([batch]), "text"):
+                for crowd, node, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), texts(piece, "text"), strict=True):
+                    if crowd != now:
+                        if nodes:
+                            yield out()
+                        now, nodes, sets = crowd, [], []
+                    nodes.append(node)
+                    sets.append(shingles(text))
+        if nodes:
+            yield out()
+
+    first = docs.select(F.col("node").alias("a"), "text")
+    second = docs.select(F.col("node").alias("b"), F.col("text").alias("other"))
+    two = found.filter("crowd IS NULL").select("a", "b").join(first, "a").join(second, "b").select("a", "b", "text", "other")
+    many = found.filter("crowd IS NOT NULL").select("crowd", "a").join(first, "a").select("crowd", F.col("a").alias("node"), "text")
+    many = many.repartition("crowd").sortWithinPartitions("crowd", "node")
+    return two.mapInArrow(pairs, "a long, b long").unionAll(many.mapInArrow(crowds, "a long, b long"))
+
+
+def near_duplicates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, component): the smallest key reachable over links, itself included; ``key`` is a number no two rows share."""
+    found = stored(prints(docs, key, text), "prints")
+    distinct = stored(found.groupBy("words").agg(F.min("key").alias("node")), "distinct")
+    spread = found.join(distinct.select(F.col("node").alias("key")), "key", "left_semi").select(F.explode("bands").alias("band"), F.col("key").alias("node"))
+    roots = simhash.components(links(named(docs, node=key, text=text), spread))
+    named_ = distinct.join(roots, "node", "left").select("words", F.coalesce("root", "node").alias("component"))
+    return found.select("key", "words").join(named_, "words").select("key", "component")

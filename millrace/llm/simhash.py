@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import functools
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -217,8 +217,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return prints.join(named_, "fp", "left").select("key", "fp", "component")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", unnamed: bool = False) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, all columns unchanged.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", unnamed: bool = False, groups: Callable[[DataFrame, str, str], DataFrame] = near_duplicates) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, all columns unchanged. ``groups`` finds them: (key, component).
 
     Rows are numbered and compared one by one, so rows that share a key and nothing else all stay. Of a group the row with
     the smallest key stays, rows without a key last; of equal keys one row. Rows without a key are compared only if
@@ -227,7 +227,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", unnamed:
     row = free_name(docs, "row")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     compared = rows if unnamed else rows.filter(quoted(key).isNotNull())
-    found = near_duplicates(compared, row, text).select(F.col("key").alias("row"), "component")
+    found = groups(compared, row, text).select(F.col("key").alias("row"), "component")
     places = compared.select(quoted(row).alias("row"), F.struct(quoted(key).isNull().alias("none"), quoted(key).alias("key"), F.xxhash64(quoted(text)).alias("hash"), quoted(row).alias("row")).alias("place"))
     first = found.join(places, "row").groupBy("component").agg(F.min("place")["row"].alias("row"))
     gone = found.join(first, "row", "left_anti").select(F.col("row").alias(row))

@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from millrace.llm import jaccard
+from millrace.llm.queries import table
+
+
+def plain_shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def linked(x, y):
+    return not x and not y or 5 * len(x & y) >= 4 * len(x | y)
+
+
+def plain_components(texts):
+    """The least number reachable over links, by comparing all pairs."""
+    sets = [plain_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if root[i] != root[j] and linked(sets[i], sets[j]):
+            old, new = max(root[i], root[j]), min(root[i], root[j])
+            root = [new if r == old else r for r in root]
+    return root
+
+
+def crowd(n, seed):
+    """Texts of 100 words with 0 to 6 words changed, and copies of some in other letters."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(9999)}" for _ in range(100)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for at in rng.sample(range(100), rng.randint(0, 6)):
+            words[at] = f"v{rng.randrange(9999)}"
+        out.append(" ".join(words))
+    return out + [t.upper().replace(" ", "\n") for t in out[:3]]
+
+
+def components(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    return [c for _, c in sorted(map(tuple, jaccard.near_duplicates(docs, "row").collect()))]
+
+
+def test_shingles_and_similarity():
+    a, b = crowd(2, 9)[:2]
+    assert len(jaccard.shingles(a)) == len(plain_shingles(a)) == 96
+    assert len(np.intersect1d(jaccard.shingles(a), jaccard.shingles(b))) == len(plain_shingles(a) & plain_shingles(b))
+    assert len(jaccard.shingles("One two")) == 1 and not len(jaccard.shingles(" "))
+    assert (jaccard.shingles("One TWO") == jaccard.shingles(" one\ttwo ")).all()
+    assert jaccard.similar(4, 5, 4) and not jaccard.similar(79, 100, 79 + 0) and jaccard.similar(80, 100, 80)
+
+
+@pytest.mark.parametrize("most", [2, 1000])
+def test_components_equal_those_of_all_pairs(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard, "CROWD", most)
+    texts = [*crowd(40, 1), *crowd(3, 2), None, "", " ", "short one", "Short  one", "short two", "long " * 20_000]
+    assert components(spark, texts) == plain_components(texts)
+
+
+def test_the_stage_finds_what_four_bits_miss(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    root = plain_components([t for _, t in rows])
+    want = [k for i, (k, _) in enumerate(rows) if root[i] == i]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, sf).collect()) == want
