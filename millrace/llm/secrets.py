@@ -3,8 +3,8 @@
 A candidate is a maximal run of token characters. A window of ``WINDOW`` characters slides over it; its entropy follows
 from the sum of ``c * log2(c)`` over the character counts, which changes by two terms when the window moves by one. The
 threshold depends on the candidate's character class (hex, alphanumeric, base64). Windows at or over it are united to
-spans of kind ``entropy``. An allow-list suppresses candidates that are harmless by form. The allow-list and overlaps
-never remove a pattern's span, only entropy spans.
+spans of kind ``entropy``. An allow-list suppresses candidates that are harmless by form. An entropy span is left out if patterns'
+spans cover all of it; one that they cover in part is kept whole. Neither rule ever removes a pattern's span.
 
 Null and empty texts have no spans. Rows are independent, so ties, repeated rows and empty tables need no rule; other
 columns are left alone.
@@ -87,9 +87,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def covered(a: int, b: int, spans: list[tuple[int, int, str]]) -> bool:
+    """Whether ``spans``, ordered by start, leave no character from ``a`` to ``b`` out."""
+    for s, e, _ in spans:
+        if s <= a < e:
+            a = e
+    return a >= b
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """All spans ``(start, end, kind)`` in code points, by start, then kind as listed in ``KINDS``."""
-    base = base_spans(text)
+    base = sorted(base_spans(text))
     spans = list(base)
     for m in CANDIDATE.finditer(text):
         run = m[0]
@@ -98,7 +106,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         kind = next(k for k, form in CLASSES if form.fullmatch(run))
         for a, b in entropy_spans(run, WINDOW, LEAST_BITS[kind]):
             a, b = a + m.start(), b + m.start()
-            if not any(s < b and a < e for s, e, _ in base):
+            if not covered(a, b, base):
                 spans.append((a, b, "entropy"))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 

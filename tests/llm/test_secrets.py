@@ -56,6 +56,17 @@ def test_entropy_adds_spans_and_the_allow_list_suppresses():
     assert [s[2] for s in secrets.find("token=" + KEY)] == ["assign"]
 
 
+def test_a_secret_beside_a_pattern_in_one_run_is_found():
+    hash_ = "0f3a5b7c9d1e2f4a6b8c0d2e4f6a8b1c"
+    for text in (f"/{hash_}/{KEY}", f"{KEY}/{hash_}", f"{KEY}=AKIA{'Q7Z2' * 4}", f"xK9/{KEY}token=hunter22"):
+        spans, base = secrets.find(text), secrets.base_spans(text)
+        assert base and [s for s in spans if s[2] != "entropy"] == base
+        at = text.index(KEY)
+        assert set(range(at, at + len(KEY))) <= {i for a, b, _ in spans for i in range(a, b)}
+    assert [s[2] for s in secrets.find(f"see {hash_} here")] == ["hex"]
+    assert secrets.covered(2, 9, [(0, 5, ""), (1, 3, ""), (5, 9, "")]) and not secrets.covered(2, 9, [(0, 5, ""), (6, 9, "")])
+
+
 def test_table(spark):
     texts = [None, "", "password = 'hunter22' x", "password=abc", f"é {KEY}", "x " * 50_000 + "AKIA" + "Z" * 16, "password = 'hunter22' x"]
     docs = spark.createDataFrame([(i if i else None, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, secret_spans string")
