@@ -94,14 +94,13 @@ def views(scheme: Scheme) -> list[list[tuple[int, int]]]:
 
 
 @functools.lru_cache(maxsize=8)
-def offsets(code: int, free: int) -> tuple[np.ndarray, ...]:
-    """For each syndrome of the Hamming code, what to flip in a value of ``code`` + ``free`` bits to reach the anchors within 2.
+def offsets(code: int, free: int, reach: int = 2) -> tuple[np.ndarray, ...]:
+    """For each syndrome of the Hamming code, what to flip in a value of ``code`` + ``free`` bits to reach the anchors within ``reach``.
 
-    The syndrome of a value is the exclusive or of the positions 1, 2, ... of its set code bits; the flips of up to two bits that
+    The syndrome of a value is the exclusive or of the positions 1, 2, ... of its set code bits; the flips of so many bits that
     reach a codeword are those whose positions have that syndrome in turn.
     """
-    n = code + free
-    flips = [0] + [1 << i for i in range(n)] + [1 << i | 1 << j for i in range(n) for j in range(i)]
+    flips = [sum(1 << i for i in bits) for k in range(reach + 1) for bits in itertools.combinations(range(code + free), k)]
     syndrome = [functools.reduce(int.__xor__, (i + 1 for i in range(code) if f >> i & 1), 0) for f in flips]
     return tuple(np.array([f for f, s in zip(flips, syndrome, strict=True) if s == k], np.uint64) for k in range(code + 1))
 

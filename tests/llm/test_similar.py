@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from millrace.llm import similar
+from millrace.llm.queries import table
+
+
+def plain_shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def linked(x, y):
+    return not x and not y or 5 * len(x & y) >= 4 * len(x | y)
+
+
+def plain_components(texts):
+    """The least number reachable over links, by comparing all pairs."""
+    sets = [plain_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if root[i] != root[j] and linked(sets[i], sets[j]):
+            old, new = max(root[i], root[j]), min(root[i], root[j])
+            root = [new if r == old else r for r in root]
+    return root
+
+
+def crowd(n, seed):
+    """Texts of 100 words with 0 to 6 words changed, and copies of some in other letters."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(9999)}" for _ in range(100)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for at in rng.sample(range(100), rng.randint(0, 6)):
+            words[at] = f"v{rng.randrange(9999)}"
+        out.append(" ".join(words))
+    return out + [t.upper().replace(" ", "\n") for t in out[:3]]
+
+
+def components(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    return [c for _, c in sorted(map(tuple, similar.near_duplicates(docs, "row").collect()))]
+
+
+def test_empty_table(spark):
+    assert components(spark, ["a"])[:0] == similar.near_duplicates(spark.createDataFrame([], "row long, text string"), "row").collect()
+
+
+def test_shingles_and_similarity():
+    a, b = crowd(2, 9)[:2]
+    assert len(similar.shingles(a)) == len(plain_shingles(a)) == 96
+    assert len(np.intersect1d(similar.shingles(a), similar.shingles(b))) == len(plain_shingles(a) & plain_shingles(b))
+    assert len(similar.shingles("One two")) == 1 and not len(similar.shingles(" "))
+    assert (similar.shingles("One TWO") == similar.shingles(" one\ttwo ")).all()
+    assert similar.similar(4, 5, 4) and not similar.similar(79, 100, 79 + 0) and similar.similar(80, 100, 80)
+
+
+def test_fingerprint_is_the_majority_of_the_hashes():
+    for text in crowd(1, 3)[:1] + ["one two", "word " * 9, " ".join(map(str, range(2000)))]:
+        found = similar.shingles(text)
+        hashes = [[int(h) for h in similar.mix(found ^ seed)] for seed in similar.SEEDS]
+        want = [2 * sum(h >> bit & 1 for h in of) > len(found) for of in hashes for bit in range(64)]
+        assert np.unpackbits(np.frombuffer(similar.fingerprint(found), np.uint8), bitorder="little").tolist() == want
+
+
+@pytest.mark.parametrize("free", [0, 2])
+def test_anchors_are_all_code_words_within_one(free):
+    rng = np.random.default_rng(free)
+    fps = rng.integers(0, 256, (5, similar.BITS // 8), dtype=np.uint8)
+    which, where = similar.anchors(fps, free)
+    got = {(int(w), int(a)) for w, a in zip(which, where, strict=True)}
+    want = set()
+    for i, bits in enumerate(np.unpackbits(fps, axis=1, bitorder="little")):
+        for k, view in enumerate(similar.views(free)):
+            value = sum(int(bits[b]) << j for j, b in enumerate(view))
+            for x in [value, *(value ^ 1 << j for j in range(15 + free))]:
+                if not np.bitwise_xor.reduce([0] + [j + 1 for j in range(15) if x >> j & 1]):
+                    want.add((i, x | k << 48))
+    assert got == want and len(got) == len(which)
+
+
+def test_pairs_of_the_least_similarity_meet_and_others_are_no_candidates():
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 2**63, (300, 900)).astype(np.uint64)
+    y = x.copy()
+    y[:, :100] = rng.integers(0, 2**63, (300, 100)).astype(np.uint64)  # 800 of 1000 in common
+    first, second = ([similar.fingerprint(np.unique(s)) for s in sets] for sets in (x, y))
+    bits = [np.frombuffer(b"".join(f), np.uint8).reshape(300, -1) for f in (first, second)]
+    places = [{} for _ in bits]
+    for place, fps in zip(places, bits, strict=True):
+        for w, a in zip(*similar.anchors(fps, 0), strict=True):
+            place.setdefault(int(w), set()).add(int(a))
+    assert all(places[0][i] & places[1][i] for i in range(300))
+    differ = np.bitwise_count(bits[0] ^ bits[1])
+    assert abs(differ.mean() / 8 - similar.FLIP) < 0.005
+    assert differ[:, : similar.CARRIED // 8].sum(axis=1).max() <= similar.near()
+    strange = np.bitwise_count(bits[0][:, None, : similar.CARRIED // 8] ^ bits[0][None, :, : similar.CARRIED // 8]).sum(axis=2)
+    assert strange[~np.eye(300, dtype=bool)].min() > similar.near()
+
+
+@pytest.mark.parametrize(("most", "block"), [(2, 2048), (2, 7), (1000, 2048)])
+def test_components_equal_those_of_all_pairs(spark, monkeypatch, most, block):
+    monkeypatch.setattr(similar, "CROWD", most)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    texts = [*crowd(40, 1), *crowd(3, 2), None, "", " ", "short one", "Short  one", "short two", "long " * 20_000]
+    assert components(spark, texts) == plain_components(texts)
+
+
+def test_the_stage_finds_what_four_bits_miss(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    root = plain_components([t for _, t in rows])
+    want = [k for i, (k, _) in enumerate(rows) if root[i] == i]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, sf).collect()) == want
