@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontaminate, jaccard, quality, secrets, simhash
+from millrace.llm import bpe, decontaminate, quality, secrets, similar, simhash
 from millrace.llm._ship import ship
 from millrace.llm._store import stored
 from millrace.llm.queries import documents, table
@@ -23,7 +23,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates (5-word shingles, similarity 0.8): the one with the smallest id; rows without an id are compared too."""
     ship(spark)
-    return simhash.keep_one(docs, unnamed=True, groups=jaccard.near_duplicates)
+    return simhash.keep_one(docs, unnamed=True, groups=similar.near_duplicates)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
