@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm._ship import ship
+
 #: Bytes of text that one step of a pass holds decoded at a time (one longer text is taken whole).
 STEP_BYTES = 4 << 20
 
@@ -38,12 +40,14 @@ def quoted(name: str) -> Column:
 
 
 def named(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under new names: other columns, whatever they are called, stay out of the way."""
+    """Only the named columns, under new names: other columns, whatever they are called, stay out of the way. Workers get this package."""
+    ship(df.sparkSession)
     return df.select(*[quoted(old).alias(new) for new, old in columns.items()])
 
 
 def picked(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns, each once."""
+    """The named columns, each once. Workers get this package."""
+    ship(df.sparkSession)
     return df.select(*map(quoted, dict.fromkeys(names)))
 
 

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: A temporary folder for each application of one machine.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where that is unset (tests on one machine) a temporary folder is set."""
+    """The folder named in ``spark.checkpoint.dir``. Where that is unset a temporary folder serves on one machine; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="millrace-")
+        found = _LOCAL[context.applicationId]
     return found.rstrip("/")
 
 

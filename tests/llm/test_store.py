@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
+
 from millrace.llm import _store
 
 
@@ -19,3 +21,14 @@ def test_tables_are_kept_until_they_are_forgotten(spark):
 def test_an_empty_table(spark):
     df = _store.stored(spark.createDataFrame([], "a int, b string"), "t")
     assert df.collect() == [] and df.columns == ["a", "b"]
+
+
+def test_a_cluster_must_name_a_shared_folder(spark):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda name, default: default)})
+        sparkContext = type("S", (), {"master": "local-cluster[3,2,1024]"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        _store.shared_dir(Cluster)
+    Cluster.conf = type("C", (), {"get": staticmethod(lambda name, default: "s3a://bucket/x/")})
+    assert _store.shared_dir(Cluster) == "s3a://bucket/x"
