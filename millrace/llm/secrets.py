@@ -3,11 +3,12 @@
 A candidate is a maximal run of token characters. A window of ``WINDOW`` characters slides over it; its entropy follows
 from the sum of ``c * log2(c)`` over the character counts, which changes by two terms when the window moves by one. The
 threshold depends on the candidate's character class (hex, alphanumeric, base64). Windows at or over it are united to
-spans of kind ``entropy``. An allow-list suppresses candidates that are harmless by form. An entropy span is left out if patterns'
-spans cover all of it; one that they cover in part is kept whole. Neither rule ever removes a pattern's span.
+spans of kind ``entropy``. An allow-list suppresses candidates that are harmless by form. Nothing else does: an entropy span is
+reported whether or not a pattern's span covers it too, and redaction unites what overlaps.
 
-Null and empty texts have no spans. Rows are independent, so ties, repeated rows and empty tables need no rule; other
-columns are left alone.
+Null and empty texts have no spans. A very long text or candidate takes time in proportion to its length. Spans that start
+together are listed in the order of their kinds. Rows are independent, so repeated rows each get the same spans; an empty table gives an
+empty result; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm._arrow import picked, steps, texts
+from millrace.llm._ship import ship
 
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "entropy")
@@ -87,27 +89,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
-def covered(a: int, b: int, spans: list[tuple[int, int, str]]) -> bool:
-    """Whether ``spans``, ordered by start, leave no character from ``a`` to ``b`` out."""
-    for s, e, _ in spans:
-        if s <= a < e:
-            a = e
-    return a >= b
-
-
 def find(text: str) -> list[tuple[int, int, str]]:
     """All spans ``(start, end, kind)`` in code points, by start, then kind as listed in ``KINDS``."""
-    base = sorted(base_spans(text))
-    spans = list(base)
+    spans = base_spans(text)
     for m in CANDIDATE.finditer(text):
         run = m[0]
         if ALLOWED.fullmatch(run):
             continue
         kind = next(k for k, form in CLASSES if form.fullmatch(run))
         for a, b in entropy_spans(run, WINDOW, LEAST_BITS[kind]):
-            a, b = a + m.start(), b + m.start()
-            if not covered(a, b, base):
-                spans.append((a, b, "entropy"))
+            spans.append((a + m.start(), b + m.start(), "entropy"))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
@@ -133,6 +124,7 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", mark:
 
     Rows without a span come out as they went in, null texts included.
     """
+    ship(docs.sparkSession)
 
     def clean(x: str) -> str:
         parts, at = [], 0
@@ -167,3 +159,18 @@ def digest(docs: DataFrame) -> DataFrame:
     of = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     base = F.filter(spans, lambda s: s["kind"] != "entropy")
     return scan(docs, ["doc_id"]).select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"))
+
+
+def counts(docs: DataFrame) -> DataFrame:
+    """The fixed kinds' counts alone, which SQL can express."""
+    return digest(docs).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+#: The patterns in SQL have no marks of possession, and take the key words' letters from the pattern above.
+COUNTS = f"""
+SELECT doc_id,
+CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '{ASSIGN.pattern.replace("'", "''")}', 2), lambda x: length(x) >= 6)) AS BIGINT) AS n_assign,
+CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20)) AS BIGINT) AS n_access,
+CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24)) AS BIGINT) AS n_hex
+FROM documents
+"""
