@@ -7,13 +7,17 @@ marks of assistant turns; everything else, and the whole prompt, is masked out.
 
 Turns are ordered by number; turns with one number by role, then text, and repeats of a turn (number, role and text equal) count once. A
 null role is rendered as ``user``, a null text as empty; turns without a number come first. Rows without a conversation
-belong to no pair. A side without turns is empty, and so is the prompt then.
+belong to no pair. A side without turns is empty, and so is the prompt then. A conversation is rendered in one row, in time in
+proportion to its turns and their texts, however long they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from millrace.llm._columns import let, sums_before
 
 END = "<|end|>"
 
@@ -28,16 +32,15 @@ def joined(turns: Column) -> Column:
 
 def mask(turns: Column) -> Column:
     """The ranges of assistant texts with their end marks in the rendered ``turns``."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
+    frame = len("<||>\n") + len(END) + 1
+    sizes = F.transform(turns, lambda t: F.length(t["role"]) + F.length(t["text"]) + F.lit(frame))
 
-    def step(state: Column, turn: Column) -> Column:
-        begin = state["at"] + F.length(turn["role"]) + F.lit(5)
+    def span(turn: Column, start: Column) -> Column:
+        begin = start + F.length(turn["role"]) + F.lit(5)
         end = begin + F.length(turn["text"]) + F.lit(len(END))
-        span = F.array(F.concat_ws(":", begin.cast("string"), end.cast("string")))
-        spans = F.when(turn["role"] == "assistant", F.concat(state["spans"], span)).otherwise(state["spans"])
-        return F.struct((end + F.lit(1)).alias("at"), spans.alias("spans"))
+        return F.when(turn["role"] == "assistant", F.concat_ws(":", begin.cast("string"), end.cast("string")))
 
-    return F.array_join(F.aggregate(turns, start, step, lambda s: s["spans"]), ",")
+    return F.array_join(F.zip_with(turns, sums_before(sizes), span), ",")
 
 
 def common(a: Column, b: Column) -> Column:
@@ -51,7 +54,9 @@ def common(a: Column, b: Column) -> Column:
 def conversations(turns: DataFrame, key: Column, turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(key, turns): each conversation's turns in order. Rows with a null key belong to none."""
     rows = turns.select(key.alias("key"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
-    return rows.filter(F.col("key").isNotNull()).groupBy("key").agg(F.array_distinct(F.sort_array(F.collect_list("t"))).alias("turns"))
+    found = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(F.sort_array(F.collect_list("t")).alias("all"))
+    once = let(F.col("all"), lambda a: F.filter(a, lambda t, i: (i == 0) | ~t.eqNullSafe(F.get(a, i - 1))))
+    return found.select("key", once.alias("turns"))
 
 
 def format_pairs(pairs: DataFrame) -> DataFrame:
@@ -80,22 +85,27 @@ def paired(turns: DataFrame, pair: Column, chosen: Column, **names: str) -> Data
 def contrasted(found: DataFrame) -> DataFrame:
     """(pair_id, a, b) from conversations (key, turns) without preferences: the rejected side has another conversation's answer.
 
-    Conversations 2k and 2k + 1 lend each other their last assistant turns. Where there is none to lend, the rejected side lacks the
-    turn; a conversation without an assistant turn has nothing to prefer, so its sides are equal.
+    Conversations 2k and 2k + 1 lend each other their last assistant turns; one whose key is no whole number has no partner. Where there is
+    none to lend, the rejected side lacks the turn; a conversation without an assistant turn has nothing to prefer, so its sides are equal.
     """
+    number = F.col("key").try_cast("bigint")
+    partner = F.when(number.cast("string") == F.col("key").cast("string"), number.bitwiseXOR(F.lit(1)).cast(found.schema["key"].dataType))
     last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"])), F.lit("assistant")).cast("int")
     place = found.select("key", "turns", last.alias("last"))  # the turns' number if there is no assistant turn
     own = place.filter(F.col("last") < F.size("turns"))
-    lent = own.select(F.col("key").bitwiseXOR(F.lit(1)).alias("key"), F.get("turns", F.col("last"))["text"].alias("other"))
-    swapped = F.transform("turns", lambda t, i: F.when(i == F.col("last"), F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.col("other").alias("text"))).otherwise(t))
-    kept = F.filter("b", lambda t: t["text"].isNotNull())
-    both = place.join(lent, "key", "left").select("key", "turns", swapped.alias("b"))
-    return both.select(F.col("key").alias("pair_id"), F.col("turns").alias("a"), kept.alias("b"))
+    lent = own.select(partner.alias("key"), F.get("turns", F.col("last"))["text"].alias("other"))
+    both = place.join(lent, "key", "left")
+    turn = F.get("turns", F.col("last"))
+    answer = F.array(F.struct(turn["turn"].alias("turn"), turn["role"].alias("role"), F.col("other").alias("text")))
+    none = F.slice("turns", F.lit(1), F.lit(0))
+    swapped = F.concat(F.slice("turns", F.lit(1), F.col("last")), F.when(F.col("other").isNotNull(), answer).otherwise(none), F.slice("turns", F.col("last") + 2, F.size("turns")))
+    return both.select(F.col("key").alias("pair_id"), F.col("turns").alias("a"), F.when(F.col("last") < F.size("turns"), swapped).otherwise(F.col("turns")).alias("b"))
 
 
 def digest(turns: DataFrame) -> DataFrame:
     """The rows of query op9: every conversation as chosen, with its partner's last answer as rejected."""
-    return format_pairs(contrasted(conversations(turns, F.col("conv_id").cast("long"))))
+    ids = F.col("conv_id")
+    return format_pairs(contrasted(conversations(turns, ids.cast("long") if isinstance(turns.schema["conv_id"].dataType, IntegralType) else ids)))
 
 
 ORACLE = r"""

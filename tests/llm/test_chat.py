@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -99,6 +100,25 @@ def test_odd_rows_against_sql(spark, tmp_path):
     against_sql(spark, QUERIES["op9_chat"], chat.ORACLE, str(tmp_path))
 
 
+def test_a_long_conversation_takes_time_in_proportion(spark):
+    roles = ("user", "assistant")
+    df = spark.range(20_000).selectExpr("0L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
+    start = time.perf_counter()
+    (r,) = chat.digest(df).collect()
+    assert time.perf_counter() - start < 30
+    assert (r.n_prompt, r.rejected) == (19_999, "") and r.chosen == "<|assistant|>\nt19999<|end|>\n"
+    (r,) = chat.format_pairs(df.groupBy().agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("a")).selectExpr("1 AS pair_id", "a", "slice(a, 1, 0) AS b")).collect()
+    spans = [tuple(map(int, s.split(":"))) for s in r.chosen_mask.split(",")]
+    assert [r.chosen[a:b] for a, b in spans] == [f"t{i}<|end|>" for i in range(1, 20_000, len(roles))]
+
+
+def test_ids_that_are_text(spark):
+    rows = [("6", 0, "user", "q"), ("6", 1, "assistant", "mine"), ("7", 0, "assistant", "theirs"), ("07", 0, "assistant", "other"), ("x", 0, "assistant", "alone")]
+    got = {r.pair_id: (r.chosen, r.rejected) for r in chat.digest(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect()}
+    line = lambda t: f"<|assistant|>\n{t}<|end|>\n"
+    assert got == {"6": (line("mine"), line("theirs")), "7": (line("theirs"), line("mine")), "07": (line("other"), ""), "x": (line("alone"), "")}
+
+
 def test_the_plan_runs_no_python(spark):
     plan = chat.digest(spark.createDataFrame(turns(0, ("user", "a")), "conv_id long, turn long, role string, text string"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
