@@ -1,13 +1,15 @@
-"""BPE encoding and decoding with a vocabulary file, long unsplit texts by tree concatenation.
+"""BPE encoding and decoding with a vocabulary file, unsplit texts by tree concatenation.
 
 A text is cut at ASCII white space, which no token of these vocabularies spans, and each segment is encoded once per
-worker while it stays in a bounded cache. A pre-token of up to ``LEAF`` bytes is encoded by the library. A longer one is split
-in halves, down to leaves, which are encoded in parallel threads; then the halves are joined bottom-up: a window of tokens
+worker while it stays in a bounded cache. A pre-token (what the vocabulary's splits leave whole) of up to ``LEAF`` characters is encoded by the
+library. A longer one, from a long word to a text without any break, is split
+in halves, down to leaves, which are encoded in parallel threads if there are many; then the halves are joined bottom-up: a window of tokens
 around the join is re-encoded, and grows until its first and last token are those that the halves already have there.
 Every pair of neighbours in the result then occurs in an encoding of some substring, which makes the whole the
 encoding of the concatenation; if a window grows to the whole text, it is that by definition.
 
-Null and empty texts have no tokens. Rows are independent; other columns are left alone.
+Null and empty texts have no tokens. A very long text takes time in proportion. Rows are independent, so repeated rows get the same tokens
+and no order or tie matters; an empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import functools
 import hashlib
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,8 +29,8 @@ from pyspark.sql import types as T
 
 from millrace.llm._arrow import picked, steps, texts
 
-#: Bytes of a pre-token that the library encodes in one go.
-LEAF = 256
+#: Characters of a pre-token that the library encodes in one go; more where a pre-token would have over ``LEAVES`` leaves.
+LEAF, LEAVES = 12, 1024
 #: Segments that a worker process keeps, and the longest segment kept.
 CACHE, CACHED_LENGTH = 250_000, 128
 #: Tokens on each side of a join that the first window holds.
@@ -91,7 +94,10 @@ class Codec:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.open = BPE(model["vocab"], merges)  # no end-of-word mark
         self.shut = BPE(model["vocab"], merges, end_of_word_suffix=self.suffix or None)
-        self.added = {t.content for t in self.whole.get_added_tokens_decoder().values()}
+        added = self.whole.get_added_tokens_decoder().values()
+        # Added tokens stand for themselves wherever they are; with other options than these the library finds them.
+        self.apart = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added)
+        self.marks = re.compile("(" + "|".join(re.escape(t.content) for t in sorted(added, key=lambda t: -len(t.content))) + ")") if added else re.compile("(?!)()")
         names = self.whole.get_vocab(with_added_tokens=True)
         self.names = [""] * (max(names.values()) + 1)
         for name, i in names.items():
@@ -112,18 +118,23 @@ class Codec:
 
     def segment(self, text: str) -> Ids:
         """The tokens of a text without ASCII white space."""
-        if len(text) <= self.leaf or any(a in text for a in self.added):
+        if len(text) <= self.leaf or not self.apart and self.marks.search(text):
             return self.whole.encode(text, add_special_tokens=False).ids
         out: Ids = []
-        for piece, _ in self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(text)):
-            out += tree_concatenate(piece, self.inner, self.last, self.spell, self.leaf, pool=self.pool)
+        for k, part in enumerate(self.marks.split(text)):
+            if k % 2:
+                out.append(self.whole.token_to_id(part))
+                continue
+            for piece, _ in self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(part)):
+                leaf = max(self.leaf, len(piece) // LEAVES)
+                out += tree_concatenate(piece, self.inner, self.last, self.spell, leaf, pool=self.pool if len(piece) > 64 * leaf else None)
         return out
 
     def pack(self, ids: Ids) -> tuple[bytes, str]:
         return np.asarray(ids, "<u4").tobytes(), " ".join([self.names[i] for i in ids])
 
     def short(self, segments: list[bytes]) -> dict[bytes, tuple[bytes, str]]:
-        """Short segments packed. Plain words, with or without a mark at the end, go to the library many at a time.
+        """Segments packed. Plain words of a leaf's length, with or without a mark at the end, go to the library many at a time.
 
         A pre-token ends with a token that has the end-of-word mark, and no other token has it, so counting ends tells the
         words' tokens apart: a plain word has one end, its mark another.
@@ -134,10 +145,10 @@ class Codec:
             text = w.decode()
             letters = text.lower()
             body = letters[:-1] if letters[-1] in ".,;:!?" else letters
-            if self.suffix and body.isalpha():
+            if self.suffix and body.isalpha() and len(body) <= self.leaf:
                 plain.append((w, text, 1 + (body is not letters)))
             else:
-                out[w] = self.pack(self.whole.encode(text, add_special_tokens=False).ids)
+                out[w] = self.pack(self.segment(text))
         for i in range(0, len(plain), 2048):
             part = plain[i : i + 2048]
             ids = self.whole.encode(" ".join([t for _, t, _ in part]), add_special_tokens=False).ids

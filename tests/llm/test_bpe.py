@@ -44,6 +44,24 @@ def test_long_unsplit_texts(library):
         assert codec.segment(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_joins_happen_in_the_texts_of_a_table(spark, library, monkeypatch):
+    texts = [r.text for r in table(spark, "/root/testdata/sf0.01", "documents").collect()]
+    joins, join = [], bpe.join
+    monkeypatch.setattr(bpe, "join", lambda a, b, *rest: joins.append(1) or join(a, b, *rest))
+    codec = bpe.Codec(bpe.default_vocabulary())
+    for text, (ids, decoded) in zip(texts, codec.rows(texts), strict=True):
+        tokens = library.encode(text, add_special_tokens=False).ids
+        assert ids == np.asarray(tokens, "<u4").tobytes()
+        assert decoded == library.decode(tokens, skip_special_tokens=False)
+    assert len(joins) > 1000
+
+
+def test_added_tokens_in_long_segments(library):
+    codec = bpe.Codec(bpe.default_vocabulary())
+    for text in ("etaoin" * 9 + "<|endoftext|>" + "shrdlu" * 9, "<|endoftext|>" * 40, "x" * 30 + "<|startoftext|><|end" + "y" * 30, "É" * 20 + "<|endoftext|>'s"):
+        assert codec.segment(text) == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_white_space_of_all_kinds(spark, library):
     texts = [None, "", "  ", " a\x1cb\x85c d e f　g ", "́a e ́x <|endoftext|> <|startoftext|>x", "A\r\n\tB\x0bC\x0c", "x" * 300 + " " + "y" * 300, "don't DON'T 'll", "word " * 30_000]
     docs = spark.createDataFrame([(i if i else None, t, 3) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
