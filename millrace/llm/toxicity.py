@@ -1,17 +1,18 @@
 """Toxicity by gradient-boosted trees over dense features, calibrated by isotonic regression.
 
 The lexicon has stated seeds and terms induced from labelled texts: word beginnings of 3 to 8 letters (whole words where they
-are no longer) that stand often in toxic texts and seldom in others. Terms are induced in two folds, and a text to learn from gets
-its features from the terms of the other fold, so that the trees see what new texts will show; scores use the terms of both.
+are no longer) that many toxic texts hold and few others; every term that passes is in it. Terms are induced in two folds, and a text to
+learn from gets its features from the terms of the other fold, so that the trees see what new texts will show; scores use the terms of both.
 Features: lexicon densities, second-person words near lexicon words, capitals, punctuation, obfuscation rates.
 
-The model is fitted on a sample of at most ``SAMPLE`` labelled texts of each class, those with the smallest hashes of their ids,
-so the driver holds at most 2 * SAMPLE rows of features; trees are grown on three quarters of them and
+The model is fitted on a sample of at most ``SAMPLE`` labelled documents of each class, those with the smallest hashes of their ids;
+of rows that share an id the one with the least hash of its text teaches. So the driver holds at most 2 * SAMPLE rows of features,
+and terms of at most as many texts, each in ``LEAST_HITS`` toxic ones or more; trees are grown on three quarters of the rows and
 calibrated on the last. Scoring takes one pass over all texts.
 
-Null and empty texts have the features of no text and get a score like any other. Rows with a null doc_id are scored, are not
-held out and teach nothing. With labels of one class only, or none, the score is that class's share (none: 0).
-Repeated rows each come out.
+Null and empty texts have the features of no text and get a score like any other; a very long text takes time in proportion. Rows with a
+null doc_id are scored, are not held out and teach nothing. With labels of one class only, or none, the score is that class's share
+(none: 0). Ids with equal hashes are taken in order. Repeated rows each come out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 
 from millrace.llm._arrow import named, steps, texts
 from millrace.llm._labels import known, remainder
+from millrace.llm._store import forget, stored
 
 #: Documents whose crc32 has this remainder are held out of the fit.
 MODULUS, HELD_OUT = 4, 2
@@ -37,9 +39,8 @@ MODULUS, HELD_OUT = 4, 2
 SAMPLE = 20_000
 #: A text counts as toxic if its score is at least this.
 ACCEPT = 0.3
-#: An induced term stands at least so often in toxic texts, and its log odds are at least this; so many terms at most. In
-#: one text a term counts up to MOST times.
-LEAST_HITS, LEAST_ODDS, TERMS, MOST = 6, 2.0, 20_000, 5
+#: At least so many toxic texts hold an induced term, and its log odds are at least this.
+LEAST_HITS, LEAST_ODDS = 4, 2.0
 LENGTHS = (3, 4, 5, 6, 7, 8)
 
 # Seeds of the lexicon, and second-person words.
@@ -228,56 +229,57 @@ class Model:
 
 
 def induced(counts: dict[str, tuple[int, int]], toxic: int, other: int) -> dict[str, float]:
-    """Weights of the terms that stand often enough in toxic texts and have high enough log odds, besides the seeds'."""
-    found = []
+    """Weights of the terms that enough toxic texts hold and that have high enough log odds, besides the seeds'."""
+    found = seed_terms()
     for term, (t, o) in counts.items():
         odds = math.log((t + 0.5) / (toxic + 1)) - math.log((o + 0.5) / (other + 1))
         if t >= LEAST_HITS and odds >= LEAST_ODDS:
-            found.append((odds * t, term, min(odds, 8.0)))
-    return seed_terms() | {term: w for _, term, w in sorted(found, reverse=True)[:TERMS]}
+            found[term] = min(odds, 8.0)
+    return found
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str) -> DataFrame:
-    """(key, text, y, fold) of the texts to learn from. At most 2 * SAMPLE ids are broadcast."""
+    """(key, text, y, fold) of the texts to learn from, one a document. At most 2 * SAMPLE ids are broadcast."""
     rows = known(labels, label, MODULUS, HELD_OUT).withColumn("h", F.xxhash64("key"))
     ids = rows.filter("y = 1").orderBy("h", "key").limit(SAMPLE).unionAll(rows.filter("y = 0").orderBy("h", "key").limit(SAMPLE))
     ids = ids.select("key", "y", F.pmod("h", F.lit(4)).cast("int").alias("fold"))
-    return named(docs, key=key, text=text).join(F.broadcast(ids), "key")
+    text_ = F.coalesce("text", F.lit(""))
+    found = named(docs, key=key, text=text).join(F.broadcast(ids), "key")
+    return found.groupBy("key", "y", "fold").agg(F.min(F.struct(F.xxhash64(text_).alias("hash"), text_.alias("text"))).alias("one")).select("key", "one.text", "y", "fold")
 
 
 def _term_counts(rows: DataFrame) -> dict[int, tuple[dict[str, tuple[int, int]], int, int]]:
-    """For each half (fold modulo 2) how often terms stand in toxic and other texts, and how many texts there are of each."""
+    """For each half (fold modulo 2) how many toxic and other texts hold a term, and how many texts there are of each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text", 16 << 20):
             found: Counter[tuple[str, int, int]] = Counter()
             for text, y, fold in zip(texts(batch, "text"), batch.column("y").to_pylist(), batch.column("fold").to_pylist(), strict=True):
-                own = Counter(t for w in map(plain, text.split()) for t in terms(w))
-                for t, n in own.items():
-                    found[t, y, fold % 2] += min(n, MOST)
+                for t in {t for w in set(text.split()) for t in terms(plain(w))}:
+                    found[t, y, fold % 2] += 1
                 found["", y, fold % 2] += 1
             cols = list(zip(*found, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(list(found.values()), pa.int64())], names=["term", "y", "half", "n"])
 
     total = lambda half, y: F.sum(F.when((F.col("half") == half) & (F.col("y") == y), F.col("n")).otherwise(0))
     sums = rows.mapInArrow(count, "term string, y int, half int, n long").groupBy("term").agg(total(0, 1).alias("t0"), total(0, 0).alias("o0"), total(1, 1).alias("t1"), total(1, 0).alias("o1"))
-    # Only terms that could pass in some half or in both come to the driver.
-    share = lambda t, o: (t >= LEAST_HITS) & (o <= t)
-    both = share(F.col("t0") + F.col("t1"), F.col("o0") + F.col("o1"))
-    some = sums.filter((F.col("term") == "") | share(F.col("t0"), F.col("o0")) | share(F.col("t1"), F.col("o1")) | both)
-    ranked = some.orderBy((F.col("term") != "").cast("int"), F.desc((F.col("t0") + F.col("t1")) / (F.col("o0") + F.col("o1") + 1)), "term").limit(10 * TERMS)
+    sums = stored(sums.filter(F.col("t0") + F.col("t1") >= LEAST_HITS).unionAll(sums.filter("term = '' AND t0 + t1 < " + str(LEAST_HITS))), "terms")
+    all_ = sums.filter("term = ''").first()
     out: dict[int, tuple[dict[str, tuple[int, int]], int, int]] = {h: ({}, 0, 0) for h in (0, 1)}
-    for r in ranked.collect():
-        for h, t, o in ((0, r.t0, r.o0), (1, r.t1, r.o1)):
-            if r.term == "":
-                out[h] = (out[h][0], t, o)
-            else:
-                out[h][0][r.term] = (t, o)
+    if all_:
+        # Only terms that pass in some half, or in both, come to the driver.
+        share = lambda t, o, toxic, other: (t >= LEAST_HITS) & (F.log((t + 0.5) / (toxic + 1)) - F.log((o + 0.5) / (other + 1)) >= LEAST_ODDS - 1e-9)
+        t, o = F.col("t0") + F.col("t1"), F.col("o0") + F.col("o1")
+        good = share(t, o, all_.t0 + all_.t1, all_.o0 + all_.o1) | share(F.col("t0"), F.col("o0"), all_.t0, all_.o0) | share(F.col("t1"), F.col("o1"), all_.t1, all_.o1)
+        out = {0: ({}, all_.t0, all_.o0), 1: ({}, all_.t1, all_.o1)}
+        for r in sums.filter(good & (F.col("term") != "")).toLocalIterator():
+            out[0][0][r.term], out[1][0][r.term] = (r.t0, r.o0), (r.t1, r.o1)
+    forget(sums)
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text") -> Model:
-    rows = sample(docs, labels, label, key, text)
+    rows = stored(sample(docs, labels, label, key, text), "sample")
     halves = _term_counts(rows)
     weights = {h: Lexicon(induced(*halves[1 - h])) for h in (0, 1)}  # by the half of the text they are for: the other's terms
     names = set(halves[0][0]) | set(halves[1][0])
@@ -290,8 +292,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
             x = [features(t, weights[f % 2]) for t, f in zip(texts(batch, "text"), folds.to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("y"), folds, pa.array(x, pa.list_(pa.float64()))], names=["y", "fold", "x"])
 
-    # One row of features for each sampled text; the bound on ids bounds it unless ids repeat, so rows are bounded too.
-    got = rows.mapInArrow(describe, "y int, fold int, x array<double>").limit(4 * SAMPLE).toPandas()
+    # One row of features for each sampled document.
+    got = rows.mapInArrow(describe, "y int, fold int, x array<double>").toPandas()
+    forget(rows)
     y = got["y"].to_numpy(float) if len(got) else np.empty(0)
     if not len(y) or y.min() == y.max():
         return Model(lexicon, None, None, float(y.mean()) if len(y) else 0.0)

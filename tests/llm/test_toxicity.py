@@ -44,16 +44,63 @@ def test_words_are_read_through_disguises():
 
 def test_isotonic_fit_is_the_least_squares_one():
     rng = np.random.default_rng(2)
-    score, weight = rng.normal(size=60), np.ones(60)
-    y = (score + rng.normal(size=60) > 0).astype(float)
+    n = 90
+    score = rng.permutation(np.arange(n) / 30)
+    y = (score + rng.normal(size=n) > 1.5).astype(float)
+    weight = rng.integers(1, 4, n).astype(float)
     xs, ps = tx.isotonic(score, y, weight)
     assert (np.diff(xs) >= 0).all() and (np.diff(ps) >= 0).all()
-    # By brute force: the greatest of the least means of rows from before to after each row.
-    ordered = y[np.argsort(score)]
-    exact = [max(min(ordered[a : b + 1].mean() for b in range(i, 60)) for a in range(i + 1)) for i in range(60)]
-    got = np.interp(np.sort(score), xs, ps)
-    assert np.abs(got - exact).max() < 0.35  # a pseudo-row in each block pulls to the mean
-    assert np.corrcoef(got, exact)[0, 1] > 0.97
+    # By brute force: the greatest of the least means of rows from before to after each row; equal fits are one block.
+    order = np.argsort(score)
+    v, w = y[order], weight[order]
+    mean = lambda a, b: np.average(v[a : b + 1], weights=w[a : b + 1])
+    exact = np.array([max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)])
+    overall = np.average(v, weights=w)
+    of = [np.flatnonzero(np.abs(exact - e) < 1e-12) for e in exact]
+    want = np.maximum.accumulate([((v[k] * w[k]).sum() + overall) / (w[k].sum() + 1) for k in of])
+    assert len(set(np.round(exact, 12))) > 4
+    np.testing.assert_allclose(np.interp(score[order], xs, ps), want, atol=1e-12)
+
+
+def plain_features(text, weights):
+    """The features, each counted by itself."""
+    weigh = lambda w: -1.0 if tx.plain(w) in tx.YOU else max([weights.get(t, 0.0) for t in [tx.plain(w)[:n] for n in range(3, 9) if n < len(tx.plain(w))] + [tx.plain(w) + "$"] * (len(tx.plain(w)) <= 8)], default=0.0)
+    words = text.split()
+    hits = [i for i, w in enumerate(words) if weigh(w) > 0]
+    strong = sum(weigh(words[i]) >= 3 for i in hits)
+    near = sum(any(abs(i - j) <= 5 and weigh(w) < 0 for j, w in enumerate(words)) for i in hits)
+    n, chars = len(words) + 5, len(text) + 20
+    return [
+        len(hits), len(hits) / n, strong, strong / n, sum(weigh(words[i]) for i in hits) / n, max([weigh(words[i]) for i in hits], default=0), len({words[i] for i in hits}),
+        near, near / (len(hits) + 1), sum(weigh(w) < 0 for w in words) / n, sum(w.isupper() for w in words) / n,
+        sum(text.count(c) for c in "!?") / chars, sum(text.count(c) for c in "#$%&*@^~") / chars, len(tx.MIXED.findall(text)) / n,
+    ]
+
+
+def test_features(spark):
+    weights = tx.seed_terms() | {"the": 1.0, "and$": 2.5, "you": 4.0}
+    texts = ["", "You are an IDIOT!!", "you 1d10t, no i.d.i.o.t of yours " * 30, "st*pid #%&* @@ du Dummkopf"]
+    texts += [r.text or "" for r in table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    for text in texts:
+        np.testing.assert_allclose(tx.features(text, tx.Lexicon(weights)), plain_features(text, weights), atol=1e-12)
+
+
+def test_terms_are_those_that_toxic_texts_hold(spark):
+    rows = [(i, f"zub{'abc'[i % 3]}x common" if i < 12 else "common plain zubax" if i == 12 else "common plain", int(i < 12), i % 4) for i in range(40)]
+    counts = tx._term_counts(spark.createDataFrame(rows, "key long, text string, y int, fold int").repartition(3))
+    both = {t: tuple(a + b for a, b in zip(counts[0][0][t], counts[1][0][t], strict=True)) for t in counts[0][0]}
+    toxic, other = [r[1] for r in rows if r[2]], [r[1] for r in rows if not r[2]]
+    held = lambda texts, term: sum(any(term in tx.terms(w) for w in t.split()) for t in texts)
+    assert all((t, o) == (held(toxic, term), held(other, term)) for term, (t, o) in both.items())
+    assert set(tx.induced(both, 12, 28)) - set(tx.seed_terms()) == {"zub", "zubb", "zubc", "zubbx$", "zubcx$"}  # "zuba" has log odds of 1.9
+    assert [counts[h][1:] for h in (0, 1)] == [(6, 14), (6, 14)]
+
+
+def test_rows_that_share_an_id_teach_once(spark):
+    docs = spark.createDataFrame([(1, t) for t in ("a", "b", None, "c")] * 50 + [(2, "x")], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    got = tx.sample(docs, labels, "toxic", "doc_id", "text").collect()
+    assert sorted(r.key for r in got) == [1, 2]
 
 
 def test_boosting_learns_a_rule_of_two_features():
