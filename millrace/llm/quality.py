@@ -2,15 +2,16 @@
 
 Every text gives transformed statistics: logarithms of sizes and square roots of rates, the rates with pseudo-counts so that short
 texts lie near the mean instead of far out. Each class has the mean and a covariance shrunk towards the pooled diagonal. A
-text's score is the logistic of the difference of the two log densities, each a Mahalanobis distance solved with the class's
-Cholesky factor, which is computed once, when the model is fitted.
+text's score is the logistic of the difference of the two log densities, each from a Mahalanobis distance: the length of the difference
+to the mean, multiplied by the inverse of the class's Cholesky factor. Factors and inverses are computed once, when the model is fitted.
 
 The fit needs only counts, sums and cross products of the labelled rows: each task adds up its own and the driver adds
 one small row a task and class. All labelled rows take part.
 
-Null and empty texts have the statistics of no text and get a score like any other. Rows with a null doc_id are scored,
-are not held out and teach nothing. With labels of one class only, or none, the score is that class's share (no labels:
-1). Repeated rows each come out.
+Null and empty texts have the statistics of no text and get a score like any other; a very long text takes time in proportion. Rows
+with a null doc_id are scored, are not held out and teach nothing. With labels of one class only, or none, the score is that class's
+share (no labels: 1). Repeated rows each come out and each teach; a score of exactly ``ACCEPT`` is accepted. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 
 from millrace.llm._arrow import named, steps, texts
 from millrace.llm._labels import known, remainder
+from millrace.llm._ship import ship
 from millrace.llm._store import stored
 
 #: Documents whose crc32 has this remainder are held out of the fit.
@@ -74,18 +76,19 @@ def statistics(text: str) -> list[float]:
 
 @dataclass
 class Model:
-    """Class means, inverses' Cholesky factors, log determinants and the log odds of the classes; no factors: a constant."""
+    """Class means, the covariances' Cholesky factors and the inverses of these, log determinants and the log odds of the classes; no means: a constant."""
 
     constant: float
     means: np.ndarray | None = None
     factors: np.ndarray | None = None
+    inverses: np.ndarray | None = None
     logdets: np.ndarray | None = None
     odds: float = 0.0
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.means is None:
             return np.full(len(x), self.constant)
-        density = [-0.5 * (np.linalg.solve(f, (x - m).T) ** 2).sum(axis=0) - d for m, f, d in zip(self.means, self.factors, self.logdets, strict=True)]
+        density = [-0.5 * (((x - m) @ f.T) ** 2).sum(axis=1) - d for m, f, d in zip(self.means, self.inverses, self.logdets, strict=True)]
         return 1 / (1 + np.exp(-np.clip(density[1] - density[0] + self.odds, -500, 500)))
 
 
@@ -102,7 +105,7 @@ def model(moments: dict[int, tuple[float, np.ndarray, np.ndarray]]) -> Model:
     shares = [max(SHRINK, len(pooled) / (len(pooled) + n[y])) for y in (0, 1)]
     factors = np.array([np.linalg.cholesky((1 - s) * c + s * floor + RIDGE * np.eye(len(pooled))) for s, c in zip(shares, covariances, strict=True)])
     logdets = np.array([np.log(np.diag(f)).sum() for f in factors])
-    return Model(0.5, means, factors, logdets, math.log(n[1] / n[0]))
+    return Model(0.5, means, factors, np.linalg.inv(factors), logdets, math.log(n[1] / n[0]))
 
 
 def featured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -154,6 +157,7 @@ def score(features: DataFrame, fitted: Model) -> DataFrame:
 
 def keep(docs: DataFrame, fitted: Model, text: str = "text", least: float = ACCEPT) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``least``, all columns unchanged."""
+    ship(docs.sparkSession)
 
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):

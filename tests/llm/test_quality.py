@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import itertools
+import math
+import re
 import zlib
 
 import numpy as np
@@ -40,6 +43,26 @@ def test_density_is_the_normal_one():
     assert np.allclose(fitted.score(x), 1 / (1 + np.exp(logs[0] - logs[1] - fitted.odds)))
 
 
+def plain_statistics(text):
+    """The statistics as the formulas say, counted by patterns."""
+    data, words = text.encode(), re.findall(rb"[^ \t-\r]+", text.encode())
+    n, size = len(words), len(data)
+    count = lambda form: len(re.findall(form, data))
+    capitals, small = count(rb"[A-Z]"), count(rb"[a-z\x80-\xff]")
+    same = sum(a == b for a, b in itertools.pairwise(words))
+    return [
+        math.log(1 + n), math.log((size + 60) / (n + 10)), math.sqrt((capitals + 1.2) / (capitals + small + 40)), math.sqrt((count(rb"[#$%&*@^~_=<>{}\[\]\\/]") + 0.12) / (size + 60)),
+        math.sqrt((count(rb"[|]") + 0.02) / (n + 10)), math.sqrt((count(rb"!") + 0.02) / (n + 10)), math.sqrt((same + 0.1) / (n + 10)), math.sqrt((count(rb"[0-9]") + 0.3) / (size + 60)),
+        math.sqrt((count(rb"[.,;:?]") + 1.5) / (n + 10)), math.log((len(set(words)) + 10) / (n + 10)) / math.log(n + 20),
+    ]
+
+
+def test_statistics(spark):
+    texts = ["", " ", "One two two | $5! é.\n", "x_y={1}[2]\\/ " * 900, *(r.text or "" for r in table(spark, SF, "documents").limit(300).collect())]
+    for text in texts:
+        np.testing.assert_allclose(quality.statistics(text), plain_statistics(text), atol=1e-12)
+
+
 def test_odd_tables(spark):
     docs = spark.createDataFrame([(1, "a fine text", 0.5), (None, None, None), (2, "", 0.1), (2, "", 0.1), (3, "!!" * 50_000, 1.0)], "doc_id long, text string, score double")
     labels = spark.createDataFrame([(1, 1, None), (1, 0, 1), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
