@@ -6,12 +6,14 @@ shorter than the shortest window can start no match and are left out. Every benc
 its window (``SPAN`` words, or the whole item if shorter) bounds a range of the array, whose entries are the verbatim
 occurrences. Neighbouring occurrences on one diagonal join to the longest matches.
 
-The benchmark travels with the tasks, about ``BLOCK_CHARS`` characters at a time: a larger one is cut into blocks of items
-that pass over the rows one after another, the hits so far being carried in a stored table, so any size gives whole results
-in bounded memory. Neither joins nor shuffles are needed.
-
-Null and empty texts have no words and are clean. Items without words match nothing. Repeated items count once by their
-id; items with a null id taint words but are not counted as items. Repeated rows are each judged alike.
+The benchmark travels with the tasks. One of more than ``BLOCK_CHARS`` characters is cut into blocks of items, which are
+broadcast one by one; a task then takes larger shards and holds one block at a time for each. So the texts are read in
+one pass whatever the benchmark's size is, in bounded memory, and neither joined nor shuffled nor stored.
+
+Null and empty texts have no words and are clean; a very long text takes time in proportion. Items without words match nothing. Repeated
+items count once by their id, and their texts are read as one item's; items with a null id taint words but are not counted as
+items and have no matches listed. Repeated rows are each judged alike, whatever their ids; ids of items are listed in order. An
+empty table of documents gives an empty result, an empty benchmark taints nothing.
 """
 
 from __future__ import annotations
@@ -21,19 +23,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm._arrow import free_name, named, quoted, steps, texts
-from millrace.llm._store import stored
+from millrace.llm._ship import ship
 
 #: Words in a window.
 SPAN = 10
 #: Characters of benchmark text that a task holds at a time.
 BLOCK_CHARS = 4 << 20
-#: Bytes of text in a shard.
-SHARD_BYTES = 4 << 20
+#: Bytes of text in a shard, and in one that is held against several blocks.
+SHARD_BYTES, WIDE_SHARD_BYTES = 4 << 20, 32 << 20
 
 #: Word characters stay, capitals become small, everything else becomes a space (bytes of UTF-8; from 0x80 on all are kept).
 TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -107,10 +110,9 @@ def occurrences(ids: np.ndarray, bench: Benchmark, span: int = SPAN) -> tuple[np
     return at[array[a[which] + offset]], which
 
 
-def shard_words(batch: list[str], bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
+def shard_words(lists: list[list[bytes]], bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all texts, a 0 after each, and where each text starts (one more entry at the end)."""
     get = bench.vocabulary.get
-    lists = [words(x) for x in batch]
     starts = np.cumsum([0, *(len(w) + 1 for w in lists)])
     ids = np.fromiter((i for w in lists for i in (*[get(x, 0) for x in w], 0)), np.uint32, int(starts[-1]))
     return ids, starts
@@ -137,58 +139,125 @@ def longest(hits: list[tuple[int, int]], bench: Benchmark) -> list[tuple[str, in
     return sorted((item, a - d, a, b - a) for (item, d), spans in lines.items() for a, b in merged(spans))
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, most: int) -> Iterator[tuple[list[tuple[str | None, str | None]], bool]]:
-    """The benchmark in lists of items with about ``most`` characters each, dealt by a hash of the item, and if it is the last list.
+class Block:
+    """A block of the benchmark as tasks hold it: in the task itself, or fetched from a broadcast for one shard at a time."""
 
-    A generator, so that the driver holds one block at a time.
-    """
+    def __init__(self, bench: Benchmark | None, sent: Broadcast | None = None) -> None:
+        self.bench, self.sent = bench, sent
+
+    def get(self) -> Benchmark:
+        return self.bench if self.sent is None else self.sent.value
+
+    def drop(self) -> None:
+        if self.sent is not None and getattr(self.sent, "_path", None):  # the file stays
+            vars(self.sent).pop("_value", None)
+
+
+def blocks(benchmark: DataFrame, item_id: str, text: str, most: int, span: int = SPAN) -> list[Block]:
+    """The benchmark in blocks of about ``most`` characters, items dealt by a hash. The driver holds one block at a time."""
     rows = named(benchmark, item=item_id, text=text).select(F.col("item").cast("string").alias("item"), "text")
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = 1 if size <= most else -(-2 * size // most)
+    if size <= most:
+        return [Block(benchmark_block([(r.item, r.text) for r in rows.collect()], span))]
+    n = -(-2 * size // most)
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    for k in range(n):
-        yield [(r.item, r.text) for r in rows.filter(block == k).collect()], k == n - 1
+    context = benchmark.sparkSession.sparkContext
+    return [Block(None, context.broadcast(benchmark_block([(r.item, r.text) for r in rows.filter(block == k).collect()], span))) for k in range(n)]
+
+
+def shards(batches: Iterator[pa.RecordBatch], text: str, several: bool) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in pieces of a shard's bytes of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for piece in steps(batches, text, SHARD_BYTES):
+        if not several:
+            yield piece
+            continue
+        held.append(piece)
+        size += piece.column(piece.schema.get_field_index(text)).nbytes
+        if size >= WIDE_SHARD_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+class Found(NamedTuple):
+    """What a text has of the benchmark: ranges of words, items, and the longest matches (item, item's word, text's word, words)."""
+
+    spans: list[tuple[int, int]]
+    items: set[str]
+    matches: list[tuple[str, int, int, int]]
+
+
+def search(lists: list[list[bytes]], held: list[Block], span: int = SPAN, want_matches: bool = True) -> dict[int, Found]:
+    """What the texts of a shard, as lists of words, have of all blocks; texts without a hit are left out."""
+    out: dict[int, Found] = {}
+    for block in held:
+        bench = block.get()
+        ids, starts = shard_words(lists, bench)
+        at, which = occurrences(ids, bench, span)
+        if len(at):
+            row = np.searchsorted(starts, at, side="right") - 1
+            order = np.argsort(row, kind="stable")
+            for group in np.split(order, np.flatnonzero(np.diff(row[order])) + 1):
+                r = int(row[group[0]])
+                begin, windows = (at[group] - starts[r]).tolist(), which[group]
+                old = out.get(r, Found([], set(), []))
+                spans = merged(old.spans + list(zip(begin, (at[group] - starts[r] + bench.lengths[windows]).tolist(), strict=True)))
+                # An item may have texts in several blocks; matches of one diagonal that meet are joined below.
+                more = longest(list(zip(begin, windows.tolist(), strict=True)), bench) if want_matches else []
+                out[r] = Found(spans, old.items.union(*(bench.items[w] for w in set(windows.tolist()))), old.matches + more)
+        block.drop()
+    if len(held) > 1:
+        out = {r: f._replace(matches=joined(f.matches)) for r, f in out.items()}
+    return out
+
 
+def joined(matches: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    lines: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for item, start, at, n in matches:
+        lines.setdefault((item, at - start), []).append((at, at + n))
+    return sorted((item, a - d, a, b - a) for (item, d), spans in lines.items() for a, b in merged(spans))
 
-HITS = T.ArrayType(T.LongType())
-ITEMS = T.ArrayType(T.StringType())
+
+NEW = T.StructType(
+    [
+        T.StructField("n_words", T.LongType()),
+        T.StructField("hit_spans", T.ArrayType(T.LongType())),
+        T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField("n_longest", T.LongType()),
+    ]
+)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, most: int = BLOCK_CHARS) -> DataFrame:
-    """The columns ``keep`` with n_words, hit_spans (flat word ranges: start, end, start, ...) and items (sorted ids).
+    """The columns ``keep`` with n_words, hit_spans (flat word ranges: start, end, start, ...), items (sorted ids) and n_longest (words of the longest match).
 
     Kept columns with the new names give way.
     """
-    keep = [c for c in keep if c not in ("n_words", "hit_spans", "items")]
+    ship(docs.sparkSession)
+    keep = [c for c in keep if c not in NEW.names]
     spare = free_name(docs, "text__")
-    out = docs.select(*map(quoted, keep), quoted(text).alias(spare), F.lit(0).cast("long").alias("n_words"), F.array().cast(HITS).alias("hit_spans"), F.array().cast(ITEMS).alias("items"))
-    for rows, last in blocks(benchmark, item_id, item_text, most):
-        out = out.mapInArrow(_pass(benchmark_block(rows, span), spare, span), out.schema)
-        out = out if last else stored(out, "hits")
-    return out.drop(spare)
-
+    held = blocks(benchmark, item_id, item_text, most, span)
 
-def _pass(bench: Benchmark, text: str, span: int):
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text, SHARD_BYTES):
-            ids, starts = shard_words(texts(batch, text), bench)
-            at, which = occurrences(ids, bench, span)
-            spans, items = [x.to_pylist() for x in batch.columns[-2:]]
-            if len(at):
-                row = np.searchsorted(starts, at, side="right") - 1
-                order = np.argsort(row, kind="stable")
-                cuts = np.flatnonzero(np.diff(row[order])) + 1
-                for group in np.split(order, cuts):
-                    r = int(row[group[0]])
-                    begin = at[group] - starts[r]
-                    old = list(zip(spans[r][::2], spans[r][1::2], strict=True))
-                    new = merged(old + list(zip(begin.tolist(), (begin + bench.lengths[which[group]]).tolist(), strict=True)))
-                    spans[r] = [x for s in new for x in s]
-                    items[r] = sorted({*items[r], *(i for w in set(which[group].tolist()) for i in bench.items[w])})
-            arrays = [*batch.columns[:-3], pa.array(np.diff(starts) - 1, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-
-    return pass_
+        for batch in shards(batches, spare, len(held) > 1):
+            lists = [words(x) for x in texts(batch, spare)]
+            found = search(lists, held, span)
+            none = Found([], set(), [])
+            rows = [found.get(r, none) for r in range(len(lists))]
+            arrays = [
+                *batch.columns[:-1],
+                pa.array(list(map(len, lists)), pa.int64()),
+                pa.array([[x for s in f.spans for x in s] for f in rows], pa.list_(pa.int64())),
+                pa.array([sorted(f.items) for f in rows], pa.list_(pa.string())),
+                pa.array([max((m[3] for m in f.matches), default=0) for f in rows], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *NEW.names])
+
+    source = docs.select(*map(quoted, keep), quoted(text).alias(spare))
+    return source.mapInArrow(pass_, T.StructType([*(docs.schema[c] for c in keep), *NEW.fields]))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, most: int = BLOCK_CHARS) -> DataFrame:
@@ -196,48 +265,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
 
     A row for each text, item and diagonal that holds at least one whole window.
     """
-    source = named(docs, key=key, text=text)
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("item", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("item_start", "doc_start", "n_words"))])
+    held = blocks(benchmark, item_id, item_text, most, span)
 
-    def of(bench: Benchmark):
-        def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in steps(batches, "text", SHARD_BYTES):
-                keys = batch.column(0).to_pylist()
-                ids, starts = shard_words(texts(batch, "text"), bench)
-                by_row: dict[int, list[tuple[int, int]]] = {}
-                for p, w in zip(*(x.tolist() for x in occurrences(ids, bench, span)), strict=True):
-                    r = int(np.searchsorted(starts, p, side="right")) - 1
-                    by_row.setdefault(r, []).append((p - int(starts[r]), w))
-                rows = [(keys[r], *m) for r, hits in sorted(by_row.items()) for m in longest(hits, bench)]
-                cols = list(zip(*rows, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.schema.field(0).type), pa.array(cols[1], pa.string()), *(pa.array(c, pa.int64()) for c in cols[2:])], names=schema.names)
-
-        return pass_
-
-    out = None
-    for rows, last in blocks(benchmark, item_id, item_text, most):
-        part = source.mapInArrow(of(benchmark_block(rows, span)), schema)
-        part = part if last else stored(part, "matches")
-        out = out.unionByName(part) if out else part
-    return out
+    def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in shards(batches, "text", len(held) > 1):
+            keys = batch.column(0).to_pylist()
+            found = search([words(x) for x in texts(batch, "text")], held, span)
+            rows = [(keys[r], *m) for r, f in sorted(found.items()) for m in f.matches]
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.schema.field(0).type), pa.array(cols[1], pa.string()), *(pa.array(c, pa.int64()) for c in cols[2:])], names=schema.names)
 
+    return named(docs, key=key, text=text).mapInArrow(pass_, schema)
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **names) -> DataFrame:
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, most: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` in whose text no window of the benchmark occurs, all columns unchanged."""
-    for rows, last in blocks(benchmark, names.get("item_id", "item_id"), names.get("item_text", "text"), names.get("most", BLOCK_CHARS)):
-        bench = benchmark_block(rows)
+    ship(docs.sparkSession)
+    held = blocks(benchmark, item_id, item_text, most, span)
 
-        def pass_(batches: Iterator[pa.RecordBatch], bench: Benchmark = bench) -> Iterator[pa.RecordBatch]:
-            for batch in steps(batches, text, SHARD_BYTES):
-                ids, starts = shard_words(texts(batch, text), bench)
-                at, _ = occurrences(ids, bench)
-                free = np.ones(batch.num_rows, bool)
-                free[np.searchsorted(starts, at, side="right") - 1] = False
-                yield batch.filter(pa.array(free))
+    def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in shards(batches, text, len(held) > 1):
+            free = np.ones(batch.num_rows, bool)
+            free[list(search([words(x) for x in texts(batch, text)], held, span, want_matches=False))] = False
+            yield batch.filter(pa.array(free))
 
-        docs = docs.mapInArrow(pass_, docs.schema)
-        docs = docs if last else stored(docs, "clean")
-    return docs
+    return docs.mapInArrow(pass_, docs.schema)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -247,19 +300,25 @@ def digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return (
         find(docs, benchmark, ["doc_id"], **options)
         .withColumn("n_hit", n_hit)
-        .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+        .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_longest")
     )
 
 
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-bw AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+place AS (SELECT DISTINCT item, i AS j, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, n, s FROM place),
 sizes AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
 hit AS (SELECT r, i, n, item FROM dw JOIN bw USING (n, s)),
 word AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS t(k) GROUP BY r),
+line AS (SELECT DISTINCT r, item, i - j AS d, i, n FROM dw JOIN place USING (n, s) WHERE item IS NOT NULL),
+first AS (SELECT *, CAST(coalesce(i > max(i + n) OVER (PARTITION BY r, item, d ORDER BY i, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS INTEGER) AS fresh FROM line),
+run AS (SELECT *, sum(fresh) OVER (PARTITION BY r, item, d ORDER BY i, n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM first),
+match AS (SELECT r, max(i + n) - min(i) AS words FROM run GROUP BY r, item, d, g),
+long AS (SELECT r, max(words) AS n_longest FROM match GROUP BY r),
 item AS (SELECT r, count(DISTINCT item) AS n_items, coalesce(array_to_string(list_sort(list(DISTINCT item)), ','), '') AS items FROM hit GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN word USING (r) LEFT JOIN item USING (r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_longest, 0) AS BIGINT) AS n_longest
+FROM d LEFT JOIN word USING (r) LEFT JOIN item USING (r) LEFT JOIN long USING (r)
 """

@@ -21,16 +21,27 @@ def plain(docs, items):
     out = []
     for doc, text in docs:
         w = words(text)
-        hit, found = set(), set()
+        hit, found, lines = set(), set(), {}
         for item, other in items:
             b = words(other)
             size = min(10, len(b))
-            grams = {tuple(b[i : i + size]) for i in range(len(b) - size + 1)} if size else set()
+            grams = {}
+            for j in range(len(b) - size + 1 if size else 0):
+                grams.setdefault(tuple(b[j : j + size]), []).append(j)
             for i in range(len(w) - size + 1 if size else 0):
                 if tuple(w[i : i + size]) in grams:
                     hit |= set(range(i, i + size))
-                    found |= {str(item)} if item is not None else set()
-        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+                    if item is not None:
+                        found.add(str(item))
+                        for j in grams[tuple(w[i : i + size])]:
+                            lines.setdefault((item, i - j), []).append((i, i + size))
+        most = 0
+        for spans in lines.values():
+            start = end = -1
+            for a, b in sorted(spans):
+                start, end = (start, max(end, b)) if a <= end else (a, b)
+                most = max(most, end - start)
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit), most))
     return out
 
 
@@ -57,6 +68,16 @@ def test_longest_matches(spark):
     assert sorted(map(tuple, dc.matches(frame, bench).collect())) == [(1, "7", 5, 2, 22), (3, "7", 0, 0, 30), (3, "7", 0, 31, 30)]
 
 
+def test_blocks_of_a_large_benchmark_give_what_one_block_gives(spark, monkeypatch):
+    monkeypatch.setattr(dc, "WIDE_SHARD_BYTES", 500)
+    docs, items = fixture(3)
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string").repartition(2), spark.createDataFrame(items, "item_id long, text string")
+    assert len(dc.blocks(bench, "item_id", "text", 40)) > 3
+    for work in (dc.matches, dc.clean):
+        one, several = (sorted(map(tuple, work(frame, bench, most=m).collect()), key=repr) for m in (1 << 20, 40))
+        assert one == several and one
+
+
 def test_affected_documents_go_and_clean_ones_stay_as_they_are(spark):
     docs, items = fixture(2)
     frame, bench = spark.createDataFrame([(*d, 1.5) for d in docs], "doc_id long, text string, extra double"), spark.createDataFrame(items, "item_id long, text string")
