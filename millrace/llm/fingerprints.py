@@ -7,9 +7,11 @@ is filled. Of each bin ``BITS`` low-order bits of a hash of the value are packed
 bins; the share of equal bins, corrected for that, estimates the resemblance of the shingle sets.
 
 Null and empty texts have the fingerprint of no shingle: it is 1 like itself, and 0 like any other (the estimate is not made
-from bins then). Equal texts have equal fingerprints.
+from bins then). Equal texts have equal fingerprints. A very long text takes time in proportion, and 8 bytes a word. Repeated rows each
+come out, and are each other's neighbours; an empty table gives an empty result.
 
-For the pairs of neighbours, documents are in descending order of id (null ids last), equal ids by a hash of the text. The rows
+For the pairs of neighbours, documents are in descending order of id (null ids last), equal ids by a hash of the text. Ids may be numbers,
+dates or text, each in the order of their type. The rows
 are dealt to ranges of that order, each range is sorted and read as a stream, and the first row of a range is sent to the range before
 it too; that is the only shuffle.
 """
@@ -18,12 +20,13 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +107,22 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
+def codes(rows: DataFrame, key: str) -> Column:
+    """A whole number for each key of ``rows`` that never falls as the key rises."""
+    kind = rows.schema[key].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(key).cast("long")
+    if isinstance(kind, T.NumericType):
+        most = 2.0**62
+        number = F.col(key).cast("double")
+        return F.when(F.isnan(number), F.lit(1 << 63 - 1).cast("long")).otherwise(F.greatest(F.lit(-most), F.least(F.lit(most), number)).cast("long"))
+    # Seven bytes from the first on in which keys differ.
+    text = F.hex(F.encode(F.col(key).cast("string"), "utf-8"))
+    least, greatest = rows.agg(F.min(text), F.max(text)).first()
+    same = len(os.path.commonprefix([least or "", greatest or ""])) // 2 * 2
+    return F.conv(F.rpad(F.substring(text, same + 1, 14), 14, "0"), 16, 10).cast("long")
+
+
 def ranges(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(range, tail, key, h, text): every row in its range of the order, and each range's first row as the tail of the range before.
 
@@ -114,7 +133,8 @@ def ranges(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = named(docs, key=key, text=text).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
     count = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A finer error than this would make the sketches themselves large; ranges then differ in size by a little more.
-    found = rows.select(F.col("key").cast("long").alias("key")).approxQuantile("key", [i / count for i in range(1, count)], max(0.1 / count, 5e-5))
+    code = codes(rows, "key")
+    found = rows.select(code.alias("key")).approxQuantile("key", [i / count for i in range(1, count)], max(0.1 / count, 5e-5))
     bounds = np.unique(found).astype(np.int64)
     hot = sorted({int(v) for v, w in zip(found, found[1:], strict=False) if v == w})
 
@@ -125,10 +145,12 @@ def ranges(docs: DataFrame, key: str, text: str) -> DataFrame:
         at = len(bounds) - np.searchsorted(bounds, keys.fillna(0).astype("int64"), side="right")
         return pd.Series(np.where(none, len(bounds) + 1, at))
 
-    many = F.col("key").isNull() | F.col("key").isin(hot) if hot else F.col("key").isNull()
+    if hot and not isinstance(docs.schema[key].dataType, T.IntegralType):  # keys with one code are in order only if they are one
+        hot = [r.code for r in rows.filter(code.isin(hot)).groupBy(code.alias("code")).agg((F.min("key") == F.max("key")).alias("one")).filter("one").collect()]
+    many = F.col("key").isNull() | code.isin(hot) if hot else F.col("key").isNull()
     # A range of 128: within it 0 before, 1 to 64 in, and 65 after its hot key, if it has one (the lowest of a range at most).
     part = F.when(many, F.shiftright("h", 58) + 33).otherwise(0)
-    rows = rows.withColumn("range", place(F.col("key").cast("long")) * 128 + part)
+    rows = rows.withColumn("range", place(code) * 128 + part)
     heads = rows.groupBy("range").agg(F.max(F.struct("key", (-F.col("h").cast("decimal(20,0)")).alias("h"))).alias("head")).orderBy("range").collect()
     if not heads:
         return rows.select("range", F.lit(0).alias("tail"), "key", "h", "text")

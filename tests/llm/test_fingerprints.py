@@ -54,6 +54,45 @@ def test_few_rows(spark, n):
     check(rows, {r.doc_id: r for r in fp.digest(docs).collect()})
 
 
+@pytest.mark.parametrize("kind", ["string", "double", "date"])
+def test_ids_of_other_types_are_in_their_own_order(spark, kind):
+    rng = np.random.default_rng(7)
+    value = {"string": lambda i: f"doc/é{i}", "double": lambda i: i / 8 - 30, "date": lambda i: f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}"}[kind]
+    rows = [(value(int(i)), " ".join(f"w{x}" for x in rng.integers(0, 9, 12))) for i in rng.permutation(300)]
+    docs = spark.createDataFrame(rows, f"doc_id {'double' if kind == 'double' else 'string'}, text string").repartition(3)
+    docs = docs.withColumn("doc_id", docs.doc_id.cast(kind))
+    rows = sorted(rows, key=lambda r: r[0].encode() if kind == "string" else r[0])
+    found = {str(r.doc_id): r for r in fp.digest(docs).collect()}
+    assert len(found) == 300
+    check([(i, t) for i, (_, t) in enumerate(rows)], {i: found[str(k)] for i, (k, _) in enumerate(rows)})
+
+
+def plain_bins(text):
+    """The bins' values before they are packed, bin by bin."""
+    words = text.encode().split()
+    grams = {" ".join(w.decode().lower() for w in words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    hashes = [int(fp.shingle_hashes(g)[0]) for g in grams]
+    value = [min((h for h in hashes if h >> 56 == b), default=None) for b in range(256)]
+    for b in [b for b in range(256) if value[b] is None]:
+        attempt = 1
+        while True:  # the same draws for all texts, until one hits a bin that is filled by itself
+            donor = int(fp.mix(np.array([b * (1 << 20) + attempt], np.uint64))[0]) >> 56
+            if any(h >> 56 == donor for h in hashes):
+                break
+            attempt += 1
+        value[b] = min(h for h in hashes if h >> 56 == donor)
+    return value
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 40, 300, 3000])
+def test_densification_against_plain_python(n):
+    text = " ".join(f"w{i % 700}x{i % 3}" for i in range(n))
+    want = plain_bins(text)
+    assert fp.bins(fp.shingle_hashes(text)).tolist() == want
+    low = [int(x) & 15 for x in fp.mix(np.array(want, np.uint64) + fp.U(1))]
+    assert fp.fingerprint(text) == bytes(a << 4 | b for a, b in zip(low[::2], low[1::2], strict=True))
+
+
 def test_ids_that_are_missing_or_repeat(spark):
     rows = [(None, f"text number {i} is here for you") for i in range(40)] + [(7, f"seven {i} times") for i in range(60)] + [(8, "eight")] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
