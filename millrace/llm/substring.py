@@ -5,20 +5,28 @@ hash among its runs of ``GRAM`` words (the leftmost on ties), which depends on t
 equal anywhere have the same representative, at the same place in them. The windows of a text fall into stretches with one
 representative. Of each stretch the index holds the representative's fingerprint and one of the whole stretch.
 
-The index is a list of immutable runs, each one sorted by fingerprint, with how often a fingerprint occurred. A batch of texts is
-merge-joined with every run and itself becomes a run; runs are compacted to one when there are more than ``FANOUT``.
+The index is a list of immutable runs in a folder: stretches with their places, in buckets of the fingerprint and sorted in each. A batch
+of texts becomes a run and is merge-joined with every older one, bucket by bucket; runs are compacted to one when there are more than
+``FANOUT``. An index with a folder of its own outlives the call: a later batch is held against all that came before, whose texts it keeps too.
+Without one the texts go through a temporary index in ``BATCHES`` batches.
 Fingerprints that occur twice or more are then verified: stretches that are repeated as a whole are repeats in all
 their windows; the rest of those with a repeated representative are taken apart, and their windows are
 compared one by one by 128 bits of hash over the words. Nothing is decided on the representative alone.
 
-Null and empty texts have no words and lose nothing. Repeated rows are copies like any other: all lose what they share.
-Rows are told apart by a hash of id and text and a number among equals, so null and repeated ids do no harm.
+Null and empty texts have no words and lose nothing; a very long text takes time in proportion, and some 100 bytes a word. Repeated
+rows are copies like any other: all lose what they share, and rows with one id and different texts are each judged by their own
+text. Rows are told apart by 128 bits of hash over id and text; rows equal in both share their verdict. A tie between hashes within a
+window goes to the leftmost. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+import json
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +36,20 @@ from pyspark.sql import types as T
 
 from millrace.llm._arrow import named, steps, texts
 from millrace.llm._hash import U, byte_table, mix, numbers, rolling_hashes, run_hashes, word_hashes
+from millrace.llm._ship import ship
 from millrace.llm._store import forget, new_path, stored
+from millrace.sources.objects import Objects
 
 SIZE, GRAM = 35, 8
 #: Texts come in so many batches; runs are compacted when there are more than FANOUT.
-BATCHES, FANOUT = 4, 2
+BATCHES, FANOUT = 4, 8
 TABLES = (byte_table(8, fold=False), byte_table(80, fold=False))
 FACTORS = numbers(108, GRAM)
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+ROW = ["x", "y"]
+ENTRY = "fp long, whole long, x long, y long, start int, n int"
+#: With it Spark reads a bucket of one sorted file as sorted.
+ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def windows(text: str, size: int = SIZE) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -71,131 +85,196 @@ def stretches(text: str, size: int = SIZE, gram: int = GRAM) -> tuple[np.ndarray
 
 
 def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, text, row, batch): ``row`` is equal for rows with equal id and text only; those share their verdict anyway."""
+    """(key, text, x, y): two hashes that are equal for rows with equal id and text only; those share their verdict anyway."""
     rows = named(docs, key=key, text=text)
-    row = F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("\x00")), F.coalesce("text", F.lit("")))
-    return rows.withColumn("row", row).withColumn("batch", F.pmod("row", F.lit(BATCHES)).cast("int"))
+    of = (F.coalesce(F.col("key").cast("string"), F.lit("\x00")), F.coalesce("text", F.lit("")))
+    return rows.withColumns({"x": F.xxhash64(*of), "y": F.xxhash64(F.lit("again"), *of)})
 
 
 def index_entries(rows: DataFrame) -> DataFrame:
-    """(fp, whole, row, start, n, batch): the stretches of all texts."""
+    """The stretches of all texts, each with its row and place."""
 
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             found = [stretches(x) for x in texts(batch, "text")]
             lengths = [len(f[0]) for f in found]
-            cols = [np.concatenate([f[i] for f in found]) for i in range(4)]
-            per_row = [np.repeat(np.asarray(batch.column(c)), lengths) for c in ("row", "batch")]
-            arrays = [cols[0], cols[1], per_row[0], cols[2].astype(np.int32), cols[3].astype(np.int32), per_row[1]]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["fp", "whole", "row", "start", "n", "batch"])
+            fp, whole, start, n = (np.concatenate([f[i] for f in found]) for i in range(4))
+            x, y = (np.repeat(np.asarray(batch.column(c)), lengths) for c in ROW)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (fp, whole, x, y, start.astype(np.int32), n.astype(np.int32))], names=["fp", "whole", *ROW, "start", "n"])
 
-    return rows.select("row", "batch", "text").mapInArrow(pass_, "fp long, whole long, row long, start int, n int, batch int")
+    return rows.select(*ROW, "text").mapInArrow(pass_, ENTRY)
 
 
 class Index:
-    """Immutable runs (fp, times) in the shared folder, in buckets of the fingerprint and sorted in each.
+    """Immutable runs of stretches in buckets of the fingerprint, sorted in each, and what they came from.
 
     All runs of an index have the same buckets, so runs are merge-joined bucket by bucket: a new batch is shuffled once, when it
-    becomes a run, and history never again.
+    becomes a run, and history never again until it is compacted. With a ``path`` (in storage that all executors share) an index is kept: its
+    manifests name the runs and texts, the one with the highest number counts, and a batch that fails half-way leaves the last one in
+    force. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession) -> None:
+    def __init__(self, spark: SparkSession, path: str | None = None) -> None:
+        ship(spark)
         self.spark = spark
+        self.kept = path is not None
+        self.files = Objects(spark, path or new_path(spark, "index"))
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[str] = []
+        self.texts: list[str] = []
+        self.version = 0
+        manifests = self.files.keys("manifest-") if self.kept else []
+        if manifests:
+            doc = json.loads(self.files.read(manifests[-1]))
+            self.buckets, self.runs, self.texts, self.version = doc["buckets"], doc["runs"], doc["texts"], doc["version"]
+            for name in self.runs:
+                self._declare(name)
+
+    def _declare(self, name: str) -> None:
+        """Make the session's catalog know a run."""
+        if not self.spark.catalog.tableExists(name):
+            place = self.files.uri(name).replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE {name} ({ENTRY}) USING parquet CLUSTERED BY (fp) SORTED BY (fp) INTO {self.buckets} BUCKETS LOCATION '{place}'")
+
+    def _write(self, entries: DataFrame) -> str:
+        name = "run_" + uuid.uuid4().hex
+        rows = entries.select("fp", "whole", *ROW, "start", "n").repartition(self.buckets, "fp")
+        rows.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", self.files.uri(name)).saveAsTable(name, format="parquet")
+        return name
 
     def run(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def _write(self, counts: DataFrame) -> str:
-        path = new_path(self.spark, "run")
-        name = path.rsplit("/", 1)[1].replace("-", "_")
-        counts.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", path).saveAsTable(name, format="parquet")
-        return name
+    def entries(self) -> Iterator[DataFrame]:
+        return map(self.run, self.runs)
 
-    def add(self, fps: DataFrame) -> DataFrame:
-        """Append a batch's fingerprints (with repeats) as a run; returns those now known to occur twice or more."""
-        name = self._write(fps.groupBy("fp").agg(F.count("*").alias("times")).repartition(self.buckets, "fp"))
-        repeated = self.run(name).filter("times > 1").select("fp")
-        for old in self.runs:
-            repeated = repeated.unionAll(self.met(name, old))
-        repeated = stored(repeated.distinct(), "repeated")
+    def met(self, new: str, old: str) -> DataFrame:
+        """The fingerprints of one run that another has too."""
+        return self.run(new).select("fp").hint("merge").join(self.run(old).select("fp").hint("merge"), "fp", "left_semi")
+
+    def add(self, entries: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+        """Append a batch as a run, with its texts (x, y, text) if they are to be kept; (fp): those of the batch now known to occur twice or more."""
+        name = self._write(entries)
+        place = f"texts_{uuid.uuid4().hex}"
+        if rows is not None:
+            rows.select(*ROW, "text").write.parquet(self.files.uri(place))
+        with ordered(self.spark):
+            repeated = self.run(name).groupBy("fp").agg(F.count("*").alias("times")).filter("times > 1").select("fp")
+            for old in self.runs:
+                repeated = repeated.unionAll(self.met(name, old))
+            repeated = stored(repeated.distinct(), "repeated")
         self.runs.append(name)
-        if len(self.runs) > FANOUT:
-            self.compact()
+        self.texts += [place] if rows is not None else []
+        self._commit()
         return repeated
 
-    def met(self, new: str, old: str) -> DataFrame:
-        """The fingerprints of one run that another has too."""
-        return self.run(new).hint("merge").join(self.run(old).hint("merge"), "fp", "left_semi").select("fp")
+    def rows(self) -> DataFrame:
+        """(x, y, text) of all batches whose texts are kept."""
+        return self.spark.read.schema("x long, y long, text string").parquet(*map(self.files.uri, self.texts))
+
+    def _commit(self) -> None:
+        if self.kept:
+            self.version += 1
+            doc = {"buckets": self.buckets, "runs": self.runs, "texts": self.texts, "version": self.version}
+            self.files.write(f"manifest-{self.version:012d}.json", json.dumps(doc).encode())
 
     def compact(self) -> None:
-        """One run of all, with the sums of their counts."""
+        """One run of all."""
         if len(self.runs) < 2:
             return
-        both = self.run(self.runs[0])
-        for r in self.runs[1:]:
-            more = self.run(r).withColumnRenamed("times", "more").hint("merge")
-            sums = F.coalesce("times", F.lit(0)) + F.coalesce("more", F.lit(0))
-            both = both.hint("merge").join(more, "fp", "full_outer").select("fp", sums.alias("times"))
-        merged = self._write(both)
-        self.clear()
-        self.runs = [merged]
+        old = list(self.runs)
+        self.runs = [self._write(union(self.entries()))]
+        self._commit()
+        for name in old:
+            self._drop(name)
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.files.delete_folder(name)
 
     def clear(self) -> None:
-        """Drop all runs."""
-        for r in self.runs:
-            forget(self.run(r))
-            self.spark.sql(f"DROP TABLE {r}")
-        self.runs = []
+        """Delete the index and all that it holds."""
+        for name in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.files.delete_folder("")
+        self.runs, self.texts = [], []
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The numbered rows, and (row, spans): for rows with repeated windows the flat list start, end, ... of windows (end exclusive)."""
-    spark = docs.sparkSession
+@contextmanager
+def ordered(spark: SparkSession) -> Iterator[None]:
+    """Within it sorted runs are read as such."""
+    old = spark.conf.get(ORDERED)
+    spark.conf.set(ORDERED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(ORDERED, old)
+
+
+def union(frames: Iterable[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionAll, frames)
+
+
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Index | None = None) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows, and (x, y, spans): for rows with repeated windows the flat list start, end, ... of windows (end exclusive).
+
+    With an ``index`` the rows are its next batch, and a window is repeated if it stands anywhere in them or in what the index holds.
+    """
     rows = numbered(docs, key, text)
-    entries = stored(index_entries(rows), "entries")
-    index = Index(spark)
-    known = None
-    for b in range(BATCHES):
-        more = index.add(entries.filter(F.col("batch") == b).select("fp"))
-        known = more if known is None else known.unionAll(more)
-    index.clear()  # a lasting index would be compacted and kept for the next batch
-    # What rows are joined with is stored first: Spark splits a large partition of a join between two plain inputs.
-    known = stored(known.distinct(), "known")
-    some = stored(entries.join(known, "fp").select("fp", "whole", "row", "start", "n"), "candidates")
-    forget(entries)
+    runs = index or Index(docs.sparkSession)
+    try:
+        if index is None:
+            batch = F.pmod("x", F.lit(BATCHES))
+            entries = stored(index_entries(rows), "entries")
+            known = union([runs.add(entries.filter(batch == b)) for b in range(BATCHES)])
+            forget(entries)
+            source = rows
+        else:
+            known = index.add(index_entries(rows), rows)
+            source = index.rows()
+        # What rows are joined with is stored first: Spark splits a large partition of a join between two plain inputs.
+        known = stored(known.distinct(), "known")
+        some = stored(union(run.join(known, "fp") for run in runs.entries()), "candidates")
+    finally:
+        if index is None:
+            runs.clear()
+    if index is not None and len(index.runs) > FANOUT:
+        index.compact()
     # Repeated as a whole: all windows of the stretch are repeats. (The hash covers the words and their number.)
     full = stored(some.groupBy("fp", "whole").agg(F.count("*").alias("times")).filter("times > 1").select("fp", "whole", F.lit(True).alias("sure")), "full")
     judged = stored(some.join(full, ["fp", "whole"], "left"), "judged")
-    sure = judged.filter("sure").select("row", "start", "n")
+    sure = judged.filter("sure").select(*ROW, "start", "n")
     open_ = judged.filter("sure is null")
     # A window of an open stretch may also stand in one that is repeated as a whole with other neighbours: of those, one each.
-    samples = judged.filter("sure").groupBy("fp", "whole").agg(F.min(F.struct("row", "start", "n")).alias("one")).select("fp", "one.*", F.lit(2).alias("times"))
+    samples = judged.filter("sure").groupBy("fp", "whole").agg(F.min(F.struct(*ROW, "start", "n")).alias("one")).select("fp", "one.*", F.lit(2).alias("times"))
     doubtful = stored(open_.select("fp").distinct(), "doubtful")
-    compared = open_.select("fp", "row", "start", "n", F.lit(1).alias("times")).unionByName(samples.join(doubtful, "fp", "left_semi"))
-    asked = stored(compared.groupBy("row").agg(F.collect_list(F.struct("start", "n", "times")).alias("asked")), "asked")
+    compared = open_.select("fp", *ROW, "start", "n", F.lit(1).alias("times")).unionByName(samples.join(doubtful, "fp", "left_semi"))
+    asked = stored(compared.groupBy(*ROW).agg(F.collect_list(F.struct("start", "n", "times")).alias("asked")), "asked")
 
     def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for text_, row, asked_ in zip(texts(batch, "text"), batch.column("row").to_pylist(), batch.column("asked").to_pylist(), strict=True):
+            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            for text_, x, y, asked_ in zip(texts(batch, "text"), *(batch.column(c).to_pylist() for c in (*ROW, "asked")), strict=True):
                 _, first, second = windows(text_)
                 for s in asked_:
-                    place = slice(s["start"], s["start"] + s["n"])
                     k = s["n"]
-                    for col, x in zip(out, (first[place].view(np.int64), second[place].view(np.int64), np.full(k, row), np.arange(s["start"], s["start"] + k), np.full(k, s["times"])), strict=True):
-                        col.append(x)
+                    place = slice(s["start"], s["start"] + k)
+                    found = (first[place].view(np.int64), second[place].view(np.int64), np.full(k, x), np.full(k, y), np.arange(s["start"], s["start"] + k), np.full(k, s["times"]))
+                    for col, more in zip(out, found, strict=True):
+                        col.append(more)
             cols = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["a", "b", "row", "at", "times"])
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["a", "b", *ROW, "at", "times"])
 
     # Repeated rows have sure stretches only; what they are asked for counts twice as it is, so they do no harm here.
-    whole_rows = rows.select("row", "text").join(asked, "row")
-    single = stored(whole_rows.mapInArrow(take_apart, "a long, b long, row long, at long, times long"), "windows")
+    whole_rows = source.select(*ROW, "text").join(asked, ROW)
+    single = stored(whole_rows.mapInArrow(take_apart, "a long, b long, x long, y long, at long, times long"), "windows")
     twice = stored(single.groupBy("a", "b").agg(F.sum("times").alias("all")).filter("`all` > 1").select("a", "b"), "twice")
-    found = single.join(twice, ["a", "b"]).filter("times = 1").select("row", F.col("at").cast("int").alias("start"), F.lit(1).alias("n"))
+    found = single.join(twice, ["a", "b"]).filter("times = 1").select(*ROW, F.col("at").cast("int").alias("start"), F.lit(1).alias("n"))
     flat = F.flatten(F.transform(F.sort_array(F.collect_set(F.struct("start", "n"))), lambda s: F.array(s["start"], s["start"] + s["n"])))
-    return rows, stored(sure.unionAll(found).groupBy("row").agg(flat.alias("spans")), "spans")
+    spans = stored(sure.unionAll(found).groupBy(*ROW).agg(flat.alias("spans")), "spans")
+    for done in (known, some, full, judged, doubtful, asked, single, twice):
+        forget(done)
+    return rows, spans
 
 
 def mark(n_words: int, spans: list[int], size: int = SIZE) -> np.ndarray:
@@ -207,9 +286,13 @@ def mark(n_words: int, spans: list[int], size: int = SIZE) -> np.ndarray:
     return edge.cumsum()[:n_words] > 0
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, n_removed, kept): every row's words without those that a repeated window covers, joined by spaces."""
-    return _removed(docs, key, text, digest_only=False)
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Index | None = None) -> DataFrame:
+    """(key, n_words, n_removed, kept): every row's words without those that a repeated window covers, joined by spaces.
+
+    With an ``index`` the rows are its next batch: they are also held against all that it holds, and added to it. Rows of
+    earlier batches keep the verdicts that they were given.
+    """
+    return _removed(docs, key, text, digest_only=False, index=index)
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -217,8 +300,8 @@ def digest(docs: DataFrame) -> DataFrame:
     return _removed(docs, "doc_id", "text", digest_only=True).withColumnRenamed("key", "doc_id").withColumnRenamed("kept", "kept_sha256")
 
 
-def _removed(docs: DataFrame, key: str, text: str, digest_only: bool) -> DataFrame:
-    rows, spans = repeats(docs, key, text)
+def _removed(docs: DataFrame, key: str, text: str, digest_only: bool, index: Index | None = None) -> DataFrame:
+    rows, spans = repeats(docs, key, text, index)
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
 
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +315,7 @@ def _removed(docs: DataFrame, key: str, text: str, digest_only: bool) -> DataFra
             cols = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=schema.names)
 
-    return rows.select("key", "text", "row").join(spans, "row", "left").select("key", "text", "spans").mapInArrow(pass_, schema)
+    return rows.join(spans, ROW, "left").select("key", "text", "spans").mapInArrow(pass_, schema)
 
 
 ORACLE = r"""

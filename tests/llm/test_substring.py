@@ -70,21 +70,59 @@ def test_a_long_text_that_repeats_itself(spark):
     assert sorted(map(tuple, sub.digest(spark.createDataFrame(docs, "doc_id long, text string")).collect())) == sorted(plain(docs))
 
 
-def test_runs_merge_and_compact(spark, monkeypatch):
-    monkeypatch.setattr(sub, "FANOUT", 2)
+def entries(spark, fps):
+    return spark.createDataFrame([(x, x, i, i, 0, 1) for i, x in enumerate(fps)], sub.ENTRY)
+
+
+def test_runs_merge_and_compact(spark):
     index = sub.Index(spark)
     batches = [[1, 2, 2], [3, 1], [4], [4, 5], [5], [1, 6]]
-    found = [sorted(r.fp for r in index.add(spark.createDataFrame([(x,) for x in b], "fp long")).collect()) for b in batches]
+    found = [sorted(r.fp for r in index.add(entries(spark, b)).collect()) for b in batches]
     assert found == [[2], [1], [], [4], [5], [1]]
-    assert len(index.runs) == 2
-    old, new = index.runs
-    plan = index.met(new, old)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Exchange" not in plan  # bucket by bucket, without a shuffle
+    assert len(index.runs) == 6
+    with sub.ordered(spark):
+        plan = index.met(index.runs[1], index.runs[0])._jdf.queryExecution().executedPlan().toString()
+    # Bucket by bucket, in the order that runs have: no shuffle and no sort.
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort " not in plan
     index.compact()
-    assert {r.fp: r.times for r in index.run(index.runs[0]).collect()} == Counter(x for b in batches for x in b)
+    assert Counter(r.fp for r in index.run(index.runs[0]).collect()) == Counter(x for b in batches for x in b)
+    assert len(index.runs) == 1
     index.clear()
     assert index.runs == []
 
 
+@pytest.mark.parametrize("fanout", [1, 8])
+def test_batches_over_a_kept_index_equal_one_table(spark, tmp_path, monkeypatch, fanout):
+    monkeypatch.setattr(sub, "FANOUT", fanout)
+    docs = fixture(6)
+    random.Random(6).shuffle(docs)
+    path = f"file://{tmp_path}/index"
+    at = 0
+    for size in (30, 40, 0, len(docs) - 70):
+        batch = docs[at : at + size]
+        at += size
+        frame = spark.createDataFrame(batch, "doc_id long, text string").repartition(3)
+        got = sub.dedup(frame, index=sub.Index(spark, path)).collect()  # opened anew for each batch
+        want = plain(docs[:at])[at - size :]
+        assert sorted(((r.key, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in got), key=repr) == sorted(want, key=repr)
+    index = sub.Index(spark, path)
+    assert len(index.runs) == (1 if fanout == 1 else 4) and index.rows().count() == len(docs)
+    for name in index.runs:  # another session's catalog knows nothing of the runs
+        spark.sql(f"DROP TABLE {name}")
+    again = sub.Index(spark, path)
+    same = [d for d in docs if d[0] == 202]
+    assert [r.n_removed for r in sub.dedup(spark.createDataFrame(same, "doc_id long, text string"), index=again).collect()] == [len(same[0][1].split())]
+    again.clear()
+    assert not list((tmp_path / "index").glob("*"))
+
+
+def test_a_failure_leaves_no_runs(spark, monkeypatch):
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(sub.Index, "entries", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sub.repeats(spark.createDataFrame(fixture(5), "doc_id long, text string"))
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_whole_table_against_sql(spark):
     against_sql(spark, QUERIES["op8_substrings"], sub.ORACLE, "/root/testdata/sf0.001")
