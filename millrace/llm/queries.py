@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import bpe, chat, decontaminate, fingerprints, pii, quality, secrets, simhash, substring, toxicity
 from millrace.llm._ship import ship
@@ -19,11 +20,15 @@ FEW = 16
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table documents. A small one in fewer pieces than there are cores is dealt out once, for all cores to work on."""
+    """The whole table documents. A small one in fewer pieces than there are cores is dealt out once, for all cores to work on.
+
+    The pieces are how the rows are laid out and change no result. Rows are dealt by id and text, so those without an id spread too.
+    """
     docs = table(spark, sf_dir, "documents")
     cores = spark.sparkContext.defaultParallelism
-    pieces = docs._jdf.queryExecution().toRdd().getNumPartitions()
-    return docs if pieces >= min(cores, FEW) else docs.repartition(cores, "doc_id")
+    if docs.rdd.getNumPartitions() >= min(cores, FEW):
+        return docs
+    return docs.repartition(cores, F.xxhash64("doc_id", "text"))
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +71,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_pii, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op9_chat, op10_simhash)}
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op1 that SQL can express."""
+    return secrets.counts(documents(spark, sf_dir))
+
+
+def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op3 that SQL can express."""
+    return pii.counts(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_quality, op3_pii, op4_fingerprints, op5_decontaminate, op6_bpe, op7_toxicity, op8_substrings, op9_chat, op10_simhash, secret_counts, pii_counts)}
 
-ORACLE_SQL = {"op5_decontaminate": decontaminate.ORACLE, "op8_substrings": substring.ORACLE, "op9_chat": chat.ORACLE}
+ORACLE_SQL = {"op5_decontaminate": decontaminate.ORACLE, "op8_substrings": substring.ORACLE, "op9_chat": chat.ORACLE, "secret_counts": secrets.COUNTS, "pii_counts": pii.COUNTS}

@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -87,3 +89,39 @@ def test_tokens(stages):
 def test_run_does_all_stages(spark, stages):
     got = rows(corpus_pipeline.run(spark, SF))
     assert got == rows(stages["tokens"][1])
+
+
+def odd_folder(tmp_path, docs):
+    """A folder of tables whose documents have missing and repeated ids and columns with names that the stages use themselves."""
+    clash = ["row", "key", "component", "text__", "n_words", "place", "batch", "quality"]
+    cols = {"doc_id": pa.array([d for d, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs], pa.string()), "lang": pa.nulls(len(docs), pa.string()), "source": pa.nulls(len(docs), pa.string()), "n_chars": pa.array([None if t is None else len(t) for _, t in docs], pa.int64())}
+    pq.write_table(pa.table(cols | {c: pa.array([f"{c}{i}" for i in range(len(docs))], pa.string()) for c in clash}), tmp_path / "documents.parquet")
+    pq.write_table(pa.table({"doc_id": pa.array([], pa.int64()), "quality": pa.array([], pa.int32()), "toxic": pa.array([], pa.int32())}), tmp_path / "labels.parquet")
+    pq.write_table(pa.table({"item_id": pa.array([1, None], pa.int64()), "text": pa.array(["ten words of a passage that nobody should train on here", None])}), tmp_path / "benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_odd_rows(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    same, other = "one text that stands here more than once with many words", "quite another text with words of its own making and no copy"
+    docs = [(5, same), (5, other), (None, same), (3, same.upper()), (None, None), (7, ""), (7, " "), (8, "so TEN words of a passage, that nobody should train on here!"), (9, "token = abcdef123456 " + "long " * 30_000), (None, "alone")]
+    sf = odd_folder(tmp_path, docs)
+    table_ = table(spark, sf, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, table_, sf)
+        assert after.columns == table_.columns, name
+    texts = [t for _, t in docs]
+    groups = {}
+    for i, r in enumerate(plain_components(texts)):
+        groups.setdefault(r, []).append(i)
+    first = [min(g, key=lambda i: (docs[i][0] is None, docs[i][0] or 0)) for g in groups.values()]
+    stays = [i for i in first if docs[i][0] != 8]
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    want = sorted((docs[i][0] or 0, library.encode((texts[i] or "").replace("token = abcdef123456", "[SECRET]"), add_special_tokens=False).ids) for i in stays)
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert sorted((r.doc_id or 0, r.token_ids) for r in got) == want
+
+
+def test_empty_table(spark, tmp_path):
+    assert corpus_pipeline.run(spark, odd_folder(tmp_path, [])).collect() == []
