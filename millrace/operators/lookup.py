@@ -115,27 +115,30 @@ def _blocks(entries: Sequence[Entry], most: int) -> Iterator[list[Entry]]:
 def join_lookup(df: DataFrame, text: Column, lookup: Lookup, out: str, most: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with the column ``out``: distinct inputs meet the broadcast patterns, and results come back by an equi-join.
 
-    Patterns are broadcast in blocks of ``most`` bytes at the utmost. Of an input's hits only the least rank is kept, before the
-    shuffle. Results are grouped by a hash beside the input, so that both inputs of the last join are plain shuffles,
-    whose partitions Spark can split where one input fills a large part of the rows.
+    An input is known by 128 bits of hash: only distinct inputs travel as text, and the rows of ``df`` without it. Patterns are broadcast
+    in blocks of ``most`` bytes at the utmost. Of an input's hits only the least rank is kept; hits are grouped by the hashes that their
+    inputs are dealt by, so there they are already. Both inputs of the last join are plain shuffles, whose partitions
+    Spark can split where one input fills a large part of the rows.
     """
     key, low, found, rank = (f"{out}__{x}" for x in ("key", "low", "hash", "rank"))
+    hashes = [f"{found}{i}" for i in range(2)]
     spark = df.sparkSession
-    df = df.withColumn(key, text)
-    inputs = df.select(F.col(key)).filter(F.col(key).isNotNull()).distinct().withColumn(low, F.lower(key))
+    named = lambda seed, name: F.when(text.isNotNull(), F.xxhash64(F.lit(seed), text)).alias(name)
+    df = df.withColumns({name: named(i, name) for i, name in enumerate(hashes)})
+    inputs = df.select(*hashes, text.alias(key)).filter(F.col(key).isNotNull()).groupBy(*hashes).agg(F.first(key).alias(key)).withColumn(low, F.lower(key))
     hits = None
     for block in _blocks(lookup.entries, most):
         patterns = F.broadcast(spark.createDataFrame([(e.rank, e.pattern, e.any_case) for e in block], "rank long, pattern string, any_case boolean"))
-        part = inputs.join(patterns, F.contains(F.when(F.col("any_case"), F.col(low)).otherwise(F.col(key)), F.col("pattern"))).select(key, "rank")
+        part = inputs.join(patterns, F.contains(F.when(F.col("any_case"), F.col(low)).otherwise(F.col(key)), F.col("pattern"))).select(*hashes, "rank")
         hits = part if hits is None else hits.unionAll(part)
     if hits is None:
-        return df.withColumn(out, F.when(F.col(key).isNotNull(), F.lit(lookup.catch_all))).drop(key)
-    best = hits.groupBy(F.xxhash64(key).alias(found), F.col(key)).agg(F.min("rank").alias(rank))
+        return df.withColumn(out, F.when(F.col(hashes[0]).isNotNull(), F.lit(lookup.catch_all))).drop(*hashes)
+    best = hits.groupBy(*hashes).agg(F.min("rank").alias(rank))
     outputs = spark.createDataFrame([(e.rank, e.output) for e in lookup.entries], f"`{rank}` long, `{out}` string")
     if sum(len(e.output.encode()) + 16 for e in lookup.entries) <= most:
         outputs = F.broadcast(outputs)
-    hit = best.join(outputs, rank).select(key, out)
-    filled = df.join(hit, key, "left")
+    hit = best.join(outputs, rank).select(*hashes, out)
+    filled = df.join(hit, hashes, "left")
     if lookup.catch_all is not None:
-        filled = filled.withColumn(out, F.when(F.col(key).isNotNull(), F.coalesce(F.col(out), F.lit(lookup.catch_all))))
-    return filled.drop(key)
+        filled = filled.withColumn(out, F.when(F.col(hashes[0]).isNotNull(), F.coalesce(F.col(out), F.lit(lookup.catch_all))))
+    return filled.drop(*hashes)

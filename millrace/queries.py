@@ -6,12 +6,13 @@ Every query builds expressions or a config as JSON documents and runs them throu
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.expr import project
@@ -19,7 +20,7 @@ from millrace.operators.assertions import validate_assertions
 from millrace.operators.lookup import build_registry
 from millrace.operators.union import union_all
 from millrace.plans import model
-from millrace.plans.job import run_pipeline
+from millrace.plans.job import Options, run_pipeline
 from millrace.plans.validate import validate_config
 from millrace.sources.objects import Objects
 from millrace.sources.parquet import partition_by_month
@@ -261,9 +262,13 @@ def partition_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for one query's files, in the folder that the cluster shares where it has one."""
+    """A new folder for one query's files: in the one that the cluster shares, or a temporary one on a single machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or 'file://' + tempfile.mkdtemp(prefix='millrace-')).rstrip('/')}/jobs/{uuid.uuid4().hex}"
+    if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="millrace-")
+    return f"{shared.rstrip('/')}/jobs/{uuid.uuid4().hex}"
 
 
 ORDERS_CONFIG: Doc = {
@@ -331,6 +336,72 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/clean/sales/by_month.parquet")
 
 
+@registered(f"SELECT {_SALES} FROM orders WHERE o_orderkey % 3 = 0")
+def csv_long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a row that has more fields than the header, empty ones included, are left out whole; the others are read."""
+    config = json.loads(json.dumps(ORDERS_CONFIG))
+    del config["mappings"][0]["partition_by"]
+    root = scratch(spark)
+    parts = table(spark, sf_dir, "orders").withColumn("part", F.col("o_orderkey") % 3)
+    for part, end in enumerate(("", ",", ",,x")):
+        line = F.concat_ws(",", "o_orderkey", F.col("o_orderdate").cast("date"), "o_orderstatus", "o_totalprice")
+        rows_ = parts.filter(F.col("part") == part).select(F.concat(line, F.lit(end)).alias("value"))
+        rows_.coalesce(1).write.text(f"{root}/text{part}")
+        objects = Objects(spark, root)
+        (name,) = (k for k in objects.keys(f"text{part}/") if k.endswith(".txt"))
+        objects.write(f"raw/orders/{part}.csv", b"key,day,status,total\n" + objects.read(name))
+    objects.write("pipeline.json", json.dumps(config).encode())
+    report = run_pipeline(spark, root, "")
+    if report.get("errors", True):
+        raise RuntimeError(json.dumps(report))
+    return spark.read.parquet(f"{root}/clean/sales/by_month.parquet")
+
+
+@registered("SELECT r_regionkey AS key, upper(r_name) AS name FROM region")
+def first_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the option, a container's second mapping gives the columns of its first."""
+    column = lambda name: {"name": name, "type": "string"}
+    config = {
+        "version": 1,
+        "source_containers": [{"id": "r", "name": "R", "path_prefix": "raw/", "schema": [column("key"), column("name")]}],
+        "lookup_mappings": [],
+        "mappings": [
+            {"id": "one", "source_container_id": "r", "analytic_table_id": "t", "columns": [{"name": "key", "expr": col("key")}, {"name": "name", "expr": unary("upper", col("name"))}]},
+            {"id": "two", "source_container_id": "r", "analytic_table_id": "t", "columns": [{"name": "name", "expr": unary("lower", col("name"))}]},
+        ],
+        "analytic_tables": [{"id": "t", "name": "T", "output_prefix": "", "schema": [column("key"), column("name")]}],
+    }
+    root = scratch(spark)
+    table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("key"), F.lower("r_name").alias("name")).write.option("header", True).csv(f"{root}/raw")
+    Objects(spark, root).write("pipeline.json", json.dumps(config).encode())
+    report = run_pipeline(spark, root, "", options=Options(first_mapping=True))
+    if report.get("errors", True):
+        raise RuntimeError(json.dumps(report))
+    found = spark.read.parquet(f"{root}/clean/t/two.parquet")
+    return found.select(F.col("key").cast(table(spark, sf_dir, "region").schema["r_regionkey"].dataType), "name")
+
+
+@registered("SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, count(*) - 1 AS in_order FROM orders GROUP BY ALL")
+def month_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In each month's one file, rows whose date is not before that of the row before."""
+    root = scratch(spark)
+    orders_csv(spark, sf_dir, root, ORDERS_CONFIG)
+    report = run_pipeline(spark, root, "")
+    if report.get("errors", True):
+        raise RuntimeError(json.dumps(report))
+    rows_ = spark.read.option("basePath", f"{root}/clean/sales").parquet(f"{root}/clean/sales").select("year", "month", "day", F.col("_metadata.row_index").alias("at"))
+    before = F.lag("day").over(Window.partitionBy("year", "month").orderBy("at"))
+    return rows_.withColumn("before", before).groupBy("year", "month").agg(F.count_if(F.col("day") >= F.col("before")).alias("in_order"))
+
+
+@registered("SELECT 'column `gone` missing_column: column not present in produced DataFrame' AS line UNION ALL SELECT 'column `q` range: 0 below min, ' || count(*) || ' above max (min=None, max=Some(40.0))' FROM lineitem WHERE l_quantity > 40 HAVING count(*) > 0")
+def violation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations as the report lists them."""
+    wanted = model._value(model.AnalyticTable, {"id": "t", "name": "t", "output_prefix": "", "schema": [rule("gone", "string", not_null=True), rule("q", "number", max=40)]}, "table")
+    found = validate_assertions(mapped(table(spark, sf_dir, "lineitem"), {"q": col("l_quantity")}), wanted)
+    return spark.createDataFrame([(str(v),) for v in found], "line string")
+
+
 def _broken() -> Doc:
     """A config with one problem of each kind."""
     doc = json.loads(json.dumps(ORDERS_CONFIG))

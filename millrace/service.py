@@ -10,7 +10,7 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
-from millrace.plans.job import error, run_pipeline
+from millrace.plans.job import Options, error, run_pipeline
 from millrace.plans.validate import validate_config
 
 REQUIRED = ("S3_BUCKET", "AWS_ACCESS_KEY_ID", "AWS_SECRET_ACCESS_KEY", "AWS_REGION", "AWS_ENDPOINT_URL")
@@ -37,7 +37,7 @@ def store_settings(env: Mapping[str, str]) -> dict[str, str]:
 
 
 def respond(method: str, path: str, body: bytes, spark: SparkSession | None, root: str | None) -> tuple[int, Any]:
-    """Status and document (text for /health) of one request."""
+    """Status and document (text for /health) of one request. A job's body may have ``options``: see ``Options``."""
     if (method, path) == ("GET", "/health"):
         return 200, "ok"
     if (method, path) == ("POST", "/config/validate"):
@@ -48,11 +48,12 @@ def respond(method: str, path: str, body: bytes, spark: SparkSession | None, roo
             prefix, clean = doc["pipeline_prefix"], doc.get("clean_run", False)
             if not (isinstance(prefix, str) and isinstance(clean, bool)):
                 raise TypeError("pipeline_prefix must be text and clean_run a boolean")
+            options = Options.parse(doc.get("options", {}))
         except (ValueError, KeyError, TypeError, AttributeError) as e:
             return 400, error("bad_request", str(e))
         if spark is None or root is None:
             return 500, error("no_s3_client", "S3 client not configured")
-        report = run_pipeline(spark, root, prefix, clean)
+        report = run_pipeline(spark, root, prefix, clean, options)
         return _STATUS.get(report.get("error", {}).get("kind"), 200), report
     return 404, error("not_found", f"{method} {path}")
 

@@ -27,7 +27,8 @@ FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 BOOL = r"^(true|false)$"
 #: Declared types, for ``declared`` typing.
 DECLARED = {"string": "string", "number": "double", "int64": "bigint", "float64": "double", "date": "date", "bool": "boolean"}
-_OVER = "over__"
+#: The text of a record that has not as many fields as the header.
+_RECORD = "record__"
 #: Stands for the type of a column without values.
 EMPTY = "void"
 #: Bytes read for a header at first.
@@ -83,14 +84,20 @@ class Ingested:
 
 
 def _scan(spark: SparkSession, objects: Objects, keys: list[str], width: int, multi_line: bool) -> DataFrame:
-    """Text columns c0, c1, ... and one for what a row has too much, with the file's path. Names are by place: headers may differ in case only."""
-    schema = T.StructType([*(T.StructField(f"c{i}", T.StringType()) for i in range(width)), T.StructField(_OVER, T.StringType())])
-    rows = spark.read.schema(schema).options(header=True, multiLine=multi_line, escape='"', enforceSchema=True, mode="PERMISSIVE").csv([objects.uri(k) for k in keys])
-    return rows.withColumn("file__", F.col("_metadata.file_path"))
+    """Text columns c0, c1, ... and the text of records of another width, with the file's path. Names are by place: headers may differ in case only."""
+    schema = T.StructType([*(T.StructField(f"c{i}", T.StringType()) for i in range(width)), T.StructField(_RECORD, T.StringType())])
+    reader = spark.read.schema(schema).options(header=True, multiLine=multi_line, escape='"', enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD)
+    return reader.csv([objects.uri(k) for k in keys]).withColumn("file__", F.col("_metadata.file_path"))
+
+
+def fields(record: Column) -> Column:
+    """How many fields a record has: its commas outside quoted fields, and one."""
+    plain = F.regexp_replace(record, r'(^|,)\s*"[^"]*+"(?:"[^"]*+")*+', "$1")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
 
 
 def _kinds(width: int) -> list[Column]:
-    out = [F.count(_OVER).alias("over")]
+    out = [F.count_if(fields(F.col(_RECORD)) > width).alias("over")]
     for i in range(width):
         c = F.col(f"c{i}")
         whole = c.rlike(INT) & c.try_cast("bigint").isNotNull()  # longer digits are numbers, but not whole ones

@@ -110,7 +110,8 @@ def stage(df: DataFrame, mapping: Mapping, objects: Objects, prefix: str, split:
     staged = Staged(objects, prefix, objects.staging(prefix), mapping, df.schema)
     uri = objects.uri(staged.folder)
     if mapping.partition_by is None:
-        (df if split else df.coalesce(1)).write.parquet(uri)
+        # The one object is one task's to write, but not to read, project and check.
+        (df if split else df.repartition(1)).write.parquet(uri)
         return staged
     date = F.col(quoted(mapping.partition_by.column))
     months = with_months(df, mapping.partition_by.column)

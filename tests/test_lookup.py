@@ -24,20 +24,24 @@ def find(doc, text, name=None):
 @pytest.mark.parametrize(
     ("doc", "text", "want"),
     [
-        (node("k", (["FOO"], "FIRST"), (["FOO", "BAR"], "SECOND")), "FOO BAR", "FIRST"),
-        (node("k", (["Starbucks"], "FOOD"), case_insensitive=True), "visit STARBUCKS today", "FOOD"),
-        (node("k", (["Starbucks"], "FOOD")), "visit STARBUCKS today", None),
-        (node("k", (["AMAZON"], "SHOPPING"), (["PAYROLL", "DEPOSIT"], "INCOME", 10)), "AMAZON PAYROLL DEPOSIT", "INCOME"),
-        (node("k", (["FOO"], "FIRST", 5), (["BAR"], "SECOND", 5)), "FOO BAR", "FIRST"),
-        (node("k", (["NETFLIX"], "FUN", 100), (["UBER"], "TRANSPORT", 1)), "TOOK AN UBER", "TRANSPORT"),
-        (node("k", (["AMAZON"], "SHOPPING", -1), (["AMAZON"], "DEFAULT")), "AMAZON.COM", "DEFAULT"),
-        (node("k", (["STARBUCKS"], "FOOD", 99), children=[node("c", (["STARBUCKS"], "STARBUCKS", -5))]), "MY STARBUCKS", "STARBUCKS"),
-        (node("k", (["UBER"], "TRANSPORT"), children=[node("c", (["TAXI"], "TAXI"))]), "UBER RIDE", "TRANSPORT"),
-        (node("k", (["UBER"], "TRANSPORT"), catch_all={"output": "OTHER"}), "grocery store", "OTHER"),
-        (node("k", (["UBER"], "TRANSPORT"), catch_all={"output": "OTHER"}), None, None),
-        (node("k", (["UBER"], "TRANSPORT"), children=[node("c", (["TAXI"], "TAXI"), catch_all={"output": "CHILD"})]), "UBER RIDE", "TRANSPORT"),
-        (node("k", (["UBER"], "TRANSPORT")), "grocery store", None),
-        (node("k", ([""], "EVERY")), "anything", "EVERY"),
+        # Rows as listed, the first that has any pattern in the input.
+        (node("k", (["moss"], "green"), (["fern", "moss"], "shade")), "a fern on moss", "green"),
+        (node("k", (["Moss"], "green"), case_insensitive=True), "old mOSS here", "green"),
+        (node("k", (["Moss"], "green")), "old mOSS here", None),
+        # A higher priority comes first, whether or not others are negative or equal.
+        (node("k", (["oak"], "tree"), (["leaf", "acorn"], "litter", 3)), "oak leaf", "litter"),
+        (node("k", (["oak"], "tree", 2), (["leaf"], "litter", 2)), "leaf of an oak", "tree"),
+        (node("k", (["lichen"], "grey", 50), (["oak"], "tree", -50)), "an oak", "tree"),
+        (node("k", (["oak"], "early", -7), (["oak"], "plain")), "oak", "plain"),
+        # Children come before their parent's rows, whatever the priorities.
+        (node("k", (["reed"], "water", 9), children=[node("c", (["reed"], "bank", -9))]), "tall reed", "bank"),
+        (node("k", (["reed"], "water"), children=[node("c", (["rush"], "bank"))]), "tall reed", "water"),
+        (node("k", (["reed"], "water"), children=[node("c", (["rush"], "bank"), catch_all={"output": "never"})]), "tall reed", "water"),
+        # What is left goes to the catch-all of the lookup that was asked, if it has one; null stays null.
+        (node("k", (["reed"], "water"), catch_all={"output": "rest"}), "a stone", "rest"),
+        (node("k", (["reed"], "water"), catch_all={"output": "rest"}), None, None),
+        (node("k", (["reed"], "water")), "a stone", None),
+        (node("k", ([""], "all")), "whatever", "all"),
     ],
 )
 def test_cases(doc, text, want):

@@ -6,29 +6,30 @@ import pytest
 
 from millrace.plans.validate import validate_config
 
+LINE = {"kind": "col", "name": "line"}
+SHELVES = {
+    "id": "shelf",
+    "rows": [{"input_patterns": ["pot", "soil"], "output": "outside"}, {"input_patterns": ["seed"], "output": "drawer", "priority": 2}],
+    "catch_all": {"output": "counter"},
+    "children": [{"id": "plants", "rows": [], "children": [{"id": "ferns", "case_insensitive": True, "rows": [{"input_patterns": ["bracken"], "output": "shade"}]}]}],
+}
 BASE = {
     "version": 1,
-    "source_containers": [{"id": "src", "name": "S", "path_prefix": "raw/src/", "schema": [{"name": "a", "type": "string"}]}],
-    "lookup_mappings": [
-        {
-            "id": "categories",
-            "case_insensitive": True,
-            "rows": [{"input_patterns": ["UBER"], "output": "TRANSPORT"}],
-            "children": [{"id": "merchants", "rows": [{"input_patterns": ["UBER"], "output": "UBER"}]}],
-        }
-    ],
+    "source_containers": [{"id": "till", "name": "Till", "path_prefix": "in/till/", "schema": [{"name": "line", "type": "string"}, {"name": "cents", "type": "int64"}]}],
+    "lookup_mappings": [SHELVES],
     "mappings": [
         {
-            "id": "m",
-            "source_container_id": "src",
-            "analytic_table_id": "t",
+            "id": "stock",
+            "source_container_id": "till",
+            "analytic_table_id": "goods",
             "columns": [
-                {"name": "cat", "expr": {"kind": "lookup_ref", "lookup_id": "categories", "input": {"kind": "col", "name": "a"}}},
-                {"name": "mer", "expr": {"kind": "lookup_ref", "lookup_id": "categories.merchants", "input": {"kind": "col", "name": "a"}}},
+                {"name": "place", "expr": {"kind": "lookup_ref", "lookup_id": "shelf", "input": dict(LINE)}},
+                {"name": "fern", "expr": {"kind": "lookup_ref", "lookup_id": "shelf.plants.ferns", "input": dict(LINE)}},
+                {"name": "cents", "expr": {"kind": "col", "name": "cents"}},
             ],
         }
     ],
-    "analytic_tables": [{"id": "t", "name": "T", "output_prefix": "", "schema": [{"name": "cat", "type": "string"}, {"name": "mer", "type": "string"}]}],
+    "analytic_tables": [{"id": "goods", "name": "Goods", "output_prefix": "", "schema": [{"name": "place", "type": "string"}, {"name": "fern", "type": "string"}, {"name": "cents", "type": "int64"}]}],
 }
 
 
@@ -46,7 +47,7 @@ def test_no_lookups_at_all():
     def change(d):
         d["lookup_mappings"] = []
         for c in d["mappings"][0]["columns"]:
-            c["expr"] = {"kind": "col", "name": "a"}
+            c["expr"] = dict(LINE)
 
     assert changed(change) == {"ok": True}
 
@@ -58,17 +59,17 @@ def _lookup(name):
 @pytest.mark.parametrize(
     ("change", "kind", "path", "words"),
     [
-        (lambda d: d["source_containers"].append(d["source_containers"][0]), "duplicate_id", "/source_containers/1/id", "source_container id `src`"),
+        (lambda d: d["source_containers"].append(d["source_containers"][0]), "duplicate_id", "/source_containers/1/id", "source_container id `till`"),
         (lambda d: d["mappings"][0].update(source_container_id="missing"), "dangling_reference", "/mappings/0/source_container_id", "source_container reference to `missing`"),
         (lambda d: d["mappings"][0].update(analytic_table_id="gone"), "dangling_reference", "/mappings/0/analytic_table_id", "analytic_table reference to `gone`"),
         (_lookup("none"), "dangling_reference", "/mappings/0/columns/0/expr", "lookup reference to `none`"),
-        (_lookup("categories.none"), "dangling_reference", "/mappings/0/columns/0/expr", "categories.none"),
-        (_lookup("categories."), "dangling_reference", "/mappings/0/columns/0/expr", "categories."),
+        (_lookup("shelf.none"), "dangling_reference", "/mappings/0/columns/0/expr", "shelf.none"),
+        (_lookup("shelf."), "dangling_reference", "/mappings/0/columns/0/expr", "shelf."),
         (lambda d: d["source_containers"][0].update(name=""), "missing_field", "/source_containers/0/name", "name"),
-        (lambda d: d["analytic_tables"][0]["schema"].pop(), "dangling_reference", "/mappings/0/columns/1/name", "analytic_table_column reference to `t.mer`"),
+        (lambda d: d["analytic_tables"][0]["schema"].pop(), "dangling_reference", "/mappings/0/columns/2/name", "analytic_table_column reference to `goods.cents`"),
         (lambda d: d["mappings"][0].update(partition_by={"column": "ghost", "granularity": "month"}), "dangling_reference", "/mappings/0/partition_by/column", "mapping_output_column"),
-        (lambda d: d["mappings"][0].update(partition_by={"column": "cat", "granularity": "month"}), "schema", "/mappings/0/partition_by/column", "`cat`"),
-        (lambda d: d["mappings"][0]["columns"][0]["expr"]["input"].update(name="nope"), "dangling_reference", "/mappings/0/columns/0/expr", "source_column reference to `src.nope`"),
+        (lambda d: d["mappings"][0].update(partition_by={"column": "place", "granularity": "month"}), "schema", "/mappings/0/partition_by/column", "`place`"),
+        (lambda d: d["mappings"][0]["columns"][0]["expr"]["input"].update(name="nope"), "dangling_reference", "/mappings/0/columns/0/expr", "source_column reference to `till.nope`"),
     ],
 )
 def test_one_problem(change, kind, path, words):
