@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from millrace.llm import simhash
 from millrace.llm._arrow import named, steps, texts
 from millrace.llm._hash import U, byte_table, mix, numbers, run_hashes, word_hashes
-from millrace.llm._store import stored
+from millrace.llm._store import forget, stored
 
 #: Words of a shingle, and the least similarity of a link as a fraction.
 SHINGLE, LEAST = 5, (4, 5)
@@ -44,8 +44,8 @@ BITS, CARRIED, CODE = 512, 256, 15
 #: The chance that a bit differs at the least similarity: the angle between the sets as a share of a half turn.
 FLIP = math.acos(2 * LEAST[0] / (LEAST[0] + LEAST[1])) / math.pi
 MISS = 1e-5
-#: Fingerprints of an anchor that free bits aim at.
-CROWDED = 128
+#: Fingerprints of an anchor that free bits aim at: more make fewer views, and so fewer replicas, but more comparisons.
+CROWDED = 1024
 #: Texts that are paired at most, texts of a block, and fingerprints replicated at a time.
 CROWD, BLOCK, CHUNK = 16, 2048, 1 << 12
 TABLE, FACTORS = byte_table(5, fold=True), numbers(55, SHINGLE)
@@ -261,8 +261,12 @@ def links(docs: DataFrame, spread: DataFrame) -> DataFrame:
         if nodes:
             yield out()
 
-    first = docs.select(F.col("node").alias("a"), "text")
-    second = docs.select(F.col("node").alias("b"), F.col("text").alias("other"))
+    # Only the texts of candidates are joined, so the others are not moved.
+    nodes = stored(found.select(F.explode(F.array_compact(F.array("a", "b"))).alias("node")).distinct(), "nodes")
+    some = stored(docs.join(nodes, "node", "left_semi"), "texts")
+    forget(nodes)
+    first = some.select(F.col("node").alias("a"), "text")
+    second = some.select(F.col("node").alias("b"), F.col("text").alias("other"))
     two = found.filter("crowd IS NULL").select("a", "b").join(first, "a").join(second, "b").select("a", "b", "text", "other")
     many = found.filter("crowd IS NOT NULL").select("crowd", "a").join(first, "a").select("crowd", F.col("a").alias("node"), "text")
     many = many.repartition("crowd").sortWithinPartitions("crowd", "node")
@@ -277,4 +281,5 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     spread = replicas(distinct, free_bits(distinct.count()))
     roots = simhash.components(links(named(docs, node=key, text=text), spread))
     named_ = stored(distinct.join(roots, "node", "left").select("words", F.coalesce("root", "node").alias("component")), "classes")
+    forget(distinct)
     return found.select("key", "words").join(named_, "words").select("key", "component")
