@@ -10,7 +10,7 @@ import pytest
 from millrace.errors import NoMapping, UnknownSourceContainer, UnsupportedGranularity
 from millrace.plans import job, model
 from millrace.plans.job import Options, resolve_mapping, run_pipeline
-from millrace.service import REQUIRED, require_env, respond, server
+from millrace.service import REQUIRED, require_env, respond, server, store_settings
 from millrace.sources.csv import ingest, missing_columns, resolve_container
 from millrace.sources.objects import Objects
 from millrace.sources.parquet import check_granularity, partition_key, unpartitioned_key
@@ -292,6 +292,26 @@ def test_service(spark, root):
         http.shutdown()
 
 
+def test_objects_behind_another_scheme(spark, root):
+    """A mount under viewfs:// stands in for an object store: nothing there has a local path."""
+    base = root(config())
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.bucket.link./data", f"file://{base}")
+    report = run_pipeline(spark, "viewfs://bucket/data", "p/")
+    assert (report["errors"], report["partitions_written"]) == ([], 3)
+    (base / "p/raw/desk/spring.csv").write_text("day,title,fee\n2023-04-01,new,1.5\n")
+    assert run_pipeline(spark, "viewfs://bucket/data", "p/", clean_run=True)["partitions_written"] == 2
+    found = Objects(spark, "viewfs://bucket/data")
+    assert found.keys("p/clean/") == [f"p/clean/loans/year=2023/month={m:02d}/desk_loans.parquet" for m in (4, 5)]
+    assert {r.title for r in spark.read.parquet(found.uri("p/clean/loans/year=2023/month=04/desk_loans.parquet")).collect()} == {"NEW", "ALMANAC"}
+
+
+def test_settings_of_the_object_store():
+    found = store_settings(dict.fromkeys(REQUIRED, "x") | {"AWS_ENDPOINT_URL": "http://store:9000", "AWS_REGION": "here"})
+    assert found["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000" and found["spark.hadoop.fs.s3a.endpoint.region"] == "here"
+    assert found["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert set(found) == {f"spark.hadoop.fs.s3a.{k}" for k in ("endpoint", "endpoint.region", "access.key", "secret.key", "path.style.access")}
+
+
 def test_environment():
     require_env(dict.fromkeys(REQUIRED, "x"))
     with pytest.raises(RuntimeError, match="S3_BUCKET, AWS_REGION"):
