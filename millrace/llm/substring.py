@@ -5,9 +5,10 @@ hash among its runs of ``GRAM`` words (the leftmost on ties), which depends on t
 equal anywhere have the same representative, at the same place in them. The windows of a text fall into stretches with one
 representative. Of each stretch the index holds the representative's fingerprint and one of the whole stretch.
 
-The index is a list of immutable runs in a folder: stretches with their places, in buckets of the fingerprint and sorted in each. A batch
+The index is a list of immutable runs in a folder: fingerprints with how often they occur, counted before they are shuffled, in
+buckets and sorted in each. A batch
 of texts becomes a run and is merge-joined with every older one, bucket by bucket; runs are compacted to one when there are more than
-``FANOUT``. An index with a folder of its own outlives the call: a later batch is held against all that came before, whose texts it keeps too.
+``FANOUT``. An index with a folder of its own outlives the call: a later batch is held against all that came before, whose stretches and texts it keeps too.
 Without one the texts go through a temporary index in ``BATCHES`` batches.
 Fingerprints that occur twice or more are then verified: stretches that are repeated as a whole are repeats in all
 their windows; the rest of those with a repeated representative are taken apart, and their windows are
@@ -106,12 +107,12 @@ def index_entries(rows: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Immutable runs of stretches in buckets of the fingerprint, sorted in each, and what they came from.
+    """Immutable runs (fp, times) in buckets of the fingerprint, sorted in each, and what they were counted from.
 
-    All runs of an index have the same buckets, so runs are merge-joined bucket by bucket: a new batch is shuffled once, when it
-    becomes a run, and history never again until it is compacted. With a ``path`` (in storage that all executors share) an index is kept: its
-    manifests name the runs and texts, the one with the highest number counts, and a batch that fails half-way leaves the last one in
-    force. One writer at a time.
+    All runs of an index have the same buckets, so runs are merge-joined bucket by bucket: a new batch is shuffled once, as counts, when it
+    becomes a run, and history never again. With a ``path`` (in storage that all executors share) an index is kept: its manifests
+    name the runs and the stretches and texts of every batch, the one with the highest number counts, and a batch that fails half-way
+    leaves the last one in force. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
@@ -121,12 +122,12 @@ class Index:
         self.files = Objects(spark, path or new_path(spark, "index"))
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[str] = []
-        self.texts: list[str] = []
+        self.batches: list[str] = []
         self.version = 0
         manifests = self.files.keys("manifest-") if self.kept else []
         if manifests:
             doc = json.loads(self.files.read(manifests[-1]))
-            self.buckets, self.runs, self.texts, self.version = doc["buckets"], doc["runs"], doc["texts"], doc["version"]
+            self.buckets, self.runs, self.batches, self.version = doc["buckets"], doc["runs"], doc["batches"], doc["version"]
             for name in self.runs:
                 self._declare(name)
 
@@ -134,56 +135,72 @@ class Index:
         """Make the session's catalog know a run."""
         if not self.spark.catalog.tableExists(name):
             place = self.files.uri(name).replace("'", "\\'")
-            self.spark.sql(f"CREATE TABLE {name} ({ENTRY}) USING parquet CLUSTERED BY (fp) SORTED BY (fp) INTO {self.buckets} BUCKETS LOCATION '{place}'")
+            self.spark.sql(f"CREATE TABLE {name} (fp long, times long) USING parquet CLUSTERED BY (fp) SORTED BY (fp) INTO {self.buckets} BUCKETS LOCATION '{place}'")
 
-    def _write(self, entries: DataFrame) -> str:
+    def _write(self, counts: DataFrame) -> str:
         name = "run_" + uuid.uuid4().hex
-        rows = entries.select("fp", "whole", *ROW, "start", "n").repartition(self.buckets, "fp")
-        rows.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", self.files.uri(name)).saveAsTable(name, format="parquet")
+        counts.select("fp", "times").write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", self.files.uri(name)).saveAsTable(name, format="parquet")
         return name
 
     def run(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def entries(self) -> Iterator[DataFrame]:
-        return map(self.run, self.runs)
-
     def met(self, new: str, old: str) -> DataFrame:
         """The fingerprints of one run that another has too."""
         return self.run(new).select("fp").hint("merge").join(self.run(old).select("fp").hint("merge"), "fp", "left_semi")
 
     def add(self, entries: DataFrame, rows: DataFrame | None = None) -> DataFrame:
-        """Append a batch as a run, with its texts (x, y, text) if they are to be kept; (fp): those of the batch now known to occur twice or more."""
-        name = self._write(entries)
-        place = f"texts_{uuid.uuid4().hex}"
-        if rows is not None:
-            rows.select(*ROW, "text").write.parquet(self.files.uri(place))
-        with ordered(self.spark):
-            repeated = self.run(name).groupBy("fp").agg(F.count("*").alias("times")).filter("times > 1").select("fp")
-            for old in self.runs:
-                repeated = repeated.unionAll(self.met(name, old))
-            repeated = stored(repeated.distinct(), "repeated")
+        """(fp): the fingerprints of a batch of stretches that are now known to occur twice or more. The batch becomes a run.
+
+        A kept index also keeps the stretches, and the texts (x, y, text) they are from.
+        """
+        batch = uuid.uuid4().hex
+        if self.kept:
+            entries.write.parquet(self.files.uri(f"batch_{batch}/entries"))
+            rows.select(*ROW, "text").write.parquet(self.files.uri(f"batch_{batch}/texts"))
+            entries = self._read([batch], "entries", ENTRY)
+        name = self._write(entries.groupBy("fp").agg(F.count("*").alias("times")).repartition(self.buckets, "fp"))
+        try:
+            with ordered(self.spark):
+                repeated = union([self.run(name).filter("times > 1").select("fp"), *(self.met(name, old) for old in self.runs)])
+                repeated = stored(repeated.distinct(), "repeated")
+        except Exception:
+            self._drop(name)
+            raise
         self.runs.append(name)
-        self.texts += [place] if rows is not None else []
+        self.batches.append(batch)
         self._commit()
         return repeated
 
+    def _read(self, batches: list[str], what: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*(self.files.uri(f"batch_{b}/{what}") for b in batches))
+
+    def entries(self) -> DataFrame:
+        """The stretches of all batches of a kept index."""
+        return self._read(self.batches, "entries", ENTRY)
+
     def rows(self) -> DataFrame:
-        """(x, y, text) of all batches whose texts are kept."""
-        return self.spark.read.schema("x long, y long, text string").parquet(*map(self.files.uri, self.texts))
+        """(x, y, text) of all batches of a kept index."""
+        return self._read(self.batches, "texts", "x long, y long, text string")
 
     def _commit(self) -> None:
         if self.kept:
             self.version += 1
-            doc = {"buckets": self.buckets, "runs": self.runs, "texts": self.texts, "version": self.version}
+            doc = {"buckets": self.buckets, "runs": self.runs, "batches": self.batches, "version": self.version}
             self.files.write(f"manifest-{self.version:012d}.json", json.dumps(doc).encode())
 
     def compact(self) -> None:
-        """One run of all."""
+        """One run of all, with the sums of their counts."""
         if len(self.runs) < 2:
             return
         old = list(self.runs)
-        self.runs = [self._write(union(self.entries()))]
+        both = self.run(old[0])
+        for name in old[1:]:
+            more = self.run(name).withColumnRenamed("times", "more").hint("merge")
+            sums = F.coalesce("times", F.lit(0)) + F.coalesce("more", F.lit(0))
+            both = both.hint("merge").join(more, "fp", "full_outer").select("fp", sums.alias("times"))
+        with ordered(self.spark):
+            self.runs = [self._write(both)]
         self._commit()
         for name in old:
             self._drop(name)
@@ -197,7 +214,7 @@ class Index:
         for name in self.runs:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.files.delete_folder("")
-        self.runs, self.texts = [], []
+        self.runs, self.batches = [], []
 
 
 @contextmanager
@@ -221,23 +238,21 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Ind
     With an ``index`` the rows are its next batch, and a window is repeated if it stands anywhere in them or in what the index holds.
     """
     rows = numbered(docs, key, text)
-    runs = index or Index(docs.sparkSession)
-    try:
-        if index is None:
-            batch = F.pmod("x", F.lit(BATCHES))
-            entries = stored(index_entries(rows), "entries")
+    entries = stored(index_entries(rows), "entries")
+    if index is None:
+        runs, batch = Index(docs.sparkSession), F.pmod("x", F.lit(BATCHES))
+        try:
             known = union([runs.add(entries.filter(batch == b)) for b in range(BATCHES)])
-            forget(entries)
-            source = rows
-        else:
-            known = index.add(index_entries(rows), rows)
-            source = index.rows()
-        # What rows are joined with is stored first: Spark splits a large partition of a join between two plain inputs.
-        known = stored(known.distinct(), "known")
-        some = stored(union(run.join(known, "fp") for run in runs.entries()), "candidates")
-    finally:
-        if index is None:
+        finally:
             runs.clear()
+        places, source = entries, rows
+    else:
+        known = index.add(entries, rows)
+        places, source = index.entries(), index.rows()
+    # What is joined is stored first: Spark splits a large partition of a join between two plain inputs.
+    known = stored(known.distinct(), "known")
+    some = stored(places.join(known, "fp").select("fp", "whole", *ROW, "start", "n"), "candidates")
+    forget(entries)
     if index is not None and len(index.runs) > FANOUT:
         index.compact()
     # Repeated as a whole: all windows of the stretch are repeats. (The hash covers the words and their number.)

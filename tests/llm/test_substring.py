@@ -85,7 +85,7 @@ def test_runs_merge_and_compact(spark):
     # Bucket by bucket, in the order that runs have: no shuffle and no sort.
     assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort " not in plan
     index.compact()
-    assert Counter(r.fp for r in index.run(index.runs[0]).collect()) == Counter(x for b in batches for x in b)
+    assert {r.fp: r.times for r in index.run(index.runs[0]).collect()} == Counter(x for b in batches for x in b)
     assert len(index.runs) == 1
     index.clear()
     assert index.runs == []
@@ -118,11 +118,18 @@ def test_batches_over_a_kept_index_equal_one_table(spark, tmp_path, monkeypatch,
 
 def test_a_failure_leaves_no_runs(spark, monkeypatch):
     before = {t.name for t in spark.catalog.listTables()}
-    monkeypatch.setattr(sub.Index, "entries", lambda self: 1 / 0)
+    monkeypatch.setattr(sub.Index, "met", lambda *_: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         sub.repeats(spark.createDataFrame(fixture(5), "doc_id long, text string"))
     assert {t.name for t in spark.catalog.listTables()} == before
 
 
+def test_a_fingerprint_in_every_text_is_counted_before_it_is_shuffled(spark):
+    index = sub.Index(spark)
+    index.add(entries(spark, [7] * 5000 + list(range(100, 200))))
+    assert {r.fp: r.times for r in index.run(index.runs[0]).filter("times > 1").collect()} == {7: 5000}
+    index.clear()
+
+
 def test_whole_table_against_sql(spark):
     against_sql(spark, QUERIES["op8_substrings"], sub.ORACLE, "/root/testdata/sf0.001")
