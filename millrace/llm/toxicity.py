@@ -263,7 +263,7 @@ def _term_counts(rows: DataFrame) -> dict[int, tuple[dict[str, tuple[int, int]],
 
     total = lambda half, y: F.sum(F.when((F.col("half") == half) & (F.col("y") == y), F.col("n")).otherwise(0))
     sums = rows.mapInArrow(count, "term string, y int, half int, n long").groupBy("term").agg(total(0, 1).alias("t0"), total(0, 0).alias("o0"), total(1, 1).alias("t1"), total(1, 0).alias("o1"))
-    sums = stored(sums.filter(F.col("t0") + F.col("t1") >= LEAST_HITS).unionAll(sums.filter("term = '' AND t0 + t1 < " + str(LEAST_HITS))), "terms")
+    sums = stored(sums.filter((F.col("t0") + F.col("t1") >= LEAST_HITS) | (F.col("term") == "")), "terms")
     all_ = sums.filter("term = ''").first()
     out: dict[int, tuple[dict[str, tuple[int, int]], int, int]] = {h: ({}, 0, 0) for h in (0, 1)}
     if all_:
