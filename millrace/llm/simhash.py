@@ -40,6 +40,8 @@ SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
 MANY = 1 << 26
 #: Fingerprints replicated at a time, and shingles of a text hashed at a time.
 CHUNK, BLOCK = 1 << 13, 1 << 15
+#: Row numbers that are sent to every executor at most (some 50 bytes each), so that no text is shuffled to meet them.
+SENT = 1 << 20
 
 
 def fingerprint(text: str) -> int:
@@ -220,6 +222,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return prints.join(named_, "fp", "left").select("key", "fp", "component")
 
 
+def sent(rows: DataFrame) -> DataFrame:
+    """A stored table of row numbers, to be broadcast if it has ``SENT`` rows or fewer; larger ones are joined as Spark decides."""
+    return F.broadcast(rows) if rows.count() <= SENT else rows
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", unnamed: bool = False, groups: Callable[[DataFrame, str, str], DataFrame] = near_duplicates) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, all columns unchanged. ``groups`` finds them: (key, component).
 
@@ -236,7 +243,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", unnamed:
     gone = stored(found.join(first, "row", "left_anti").select(F.col("row").alias(row)), "gone")
     for done in (found, first):
         forget(done)
-    return rows.join(gone, row, "left_anti").select(*map(quoted, docs.columns))
+    return rows.join(sent(gone), row, "left_anti").select(*map(quoted, docs.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:

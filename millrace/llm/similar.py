@@ -12,9 +12,9 @@ probability of ``MISS``; more similar ones are missed more rarely still. Free bi
 fingerprints of an anchor stay about as many.
 
 Per anchor, fingerprints that differ in ``near`` of ``CARRIED`` bits or fewer are candidates (a pair of 0.8 differs in more with a
-probability of ``MISS``). What hangs together is compared by its whole sets: up to ``CROWD`` texts pair by pair; more by breadth-first
-search, which compares each text with those not yet reached, in blocks of ``BLOCK`` texts against one another, so that a group
-of any size is cut into bounded pieces and loses no link.
+probability of ``MISS``). What hangs together over all anchors is one crowd, so that a text travels once and not once a view. A crowd is
+compared by its whole sets by breadth-first search, which compares each text with those not yet reached; one of over ``BLOCK`` texts
+in blocks of about as many, each against every other, so that a group of any size is cut into bounded pieces and loses no link.
 
 Null and empty texts have the same words, none, and so are near-duplicates of each other. Repeated rows and ties have the
 same words too. An empty table gives an empty result. A very long text costs time in proportion, and 8 bytes a distinct shingle.
@@ -23,7 +23,6 @@ same words too. An empty table gives an empty result. A very long text costs tim
 from __future__ import annotations
 
 import functools
-import itertools
 import math
 from collections.abc import Iterator
 
@@ -46,8 +45,10 @@ FLIP = math.acos(2 * LEAST[0] / (LEAST[0] + LEAST[1])) / math.pi
 MISS = 1e-5
 #: Fingerprints of an anchor that free bits aim at: more make fewer views, and so fewer replicas, but more comparisons.
 CROWDED = 1024
-#: Texts that are paired at most, texts of a block, and fingerprints replicated at a time.
-CROWD, BLOCK, CHUNK = 16, 2048, 1 << 12
+#: Fingerprints of an anchor that are compared all with all, texts of a block, and fingerprints replicated at a time.
+CROWD, BLOCK, CHUNK = 1 << 12, 512, 1 << 12
+#: Edges between candidates that one task thins out.
+EDGES = 1 << 17
 TABLE, FACTORS = byte_table(5, fold=True), numbers(55, SHINGLE)
 SEEDS = numbers(56, BITS // 64)
 LANES = U(0x0101010101010101)
@@ -113,12 +114,17 @@ def anchors(fps: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(which), np.concatenate(where).view(np.int64)
 
 
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits each of the fingerprints ``a`` (rows of 64-bit words) differs from each of ``b``."""
+    return sum(np.bitwise_count(a[:, None, k] ^ b[None, :, k]).astype(np.uint16) for k in range(a.shape[1]))
+
+
 def groups(fps: np.ndarray, most: int) -> Iterator[np.ndarray]:
     """The places of fingerprints (rows of 64-bit words) that hang together by ``most`` differing bits or fewer, if more than one does."""
     left = np.arange(len(fps))
-    if len(left) <= 512:  # most have no neighbour, which one comparison of all shows
-        differ = np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2, dtype=np.int64)
-        left = np.flatnonzero((differ <= most).sum(axis=1) > 1)
+    if len(left) <= CROWD:  # most have no neighbour, which a comparison of all in strips shows
+        strip = (1 << 18) // max(1, len(fps)) + 1
+        left = np.flatnonzero(np.concatenate([(apart(fps[i : i + strip], fps) <= most).sum(axis=1) > 1 for i in range(0, len(fps), strip)]))
     while len(left):
         queue, left, reached = [left[0]], left[1:], []
         while queue:
@@ -147,6 +153,8 @@ def forest(nodes: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
             queue, left = [int(left[0])], left[1:]
             flat, owner = flat[owner != queue[0]], owner[owner != queue[0]]
         now = queue.pop()
+        if not sizes[now]:  # a text without words is like no other
+            continue
         at = np.minimum(np.searchsorted(sets[now], flat), sizes[now] - 1)
         both = np.bincount(owner[sets[now][at] == flat], minlength=len(nodes))
         close = left[similar(both[left], sizes[left], sizes[now])]
@@ -190,33 +198,19 @@ def replicas(distinct: DataFrame, free: int) -> DataFrame:
 
 
 def candidates(spread: DataFrame) -> DataFrame:
-    """(crowd, a, b) from (anchor, node, fp): pairs with a null crowd, and the members a of crowds with a null b."""
+    """(a, b) from (anchor, node, fp): candidates, enough of them to connect what hangs together at any anchor."""
     most = near()
 
-    def name(part: np.ndarray) -> int:  # anchors that gather the same texts make one crowd
-        return int(mix(mix(part.view(U)).sum(keepdims=True, dtype=U)).view(np.int64)[0])
-
-    def rows(nodes: np.ndarray, fps: np.ndarray) -> Iterator[tuple[int | None, int, int | None]]:
-        for at in groups(fps, most):
-            part = nodes[at]
-            if len(part) <= CROWD:
-                close = np.bitwise_count(fps[at][:, None] ^ fps[at][None]).sum(axis=2, dtype=np.int64) <= most
-                yield from ((None, int(part[i]), int(part[j])) for i, j in zip(*np.nonzero(np.triu(close, 1)), strict=True))
-                continue
-            blocks = np.array_split(part, -(-len(part) // BLOCK))
-            for x, y in itertools.combinations(blocks, 2) if len(blocks) > 1 else [(part, part[:0])]:
-                crowd = np.concatenate([x, y])
-                yield from ((name(crowd), int(a), None) for a in crowd)
-
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest_a, rest_n, rest_f = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, CARRIED // 64), U)
 
         def out(where: np.ndarray, nodes: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
             cuts = np.flatnonzero(np.diff(where)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.append(cuts, len(where))
-            found = [r for k in np.flatnonzero(ends - starts > 1) for r in rows(nodes[starts[k] : ends[k]], fps[starts[k] : ends[k]])]
-            cols = list(zip(*found, strict=True)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["crowd", "a", "b"])
+            found = [starts[k] + at for k in np.flatnonzero(ends - starts > 1) for at in groups(fps[starts[k] : ends[k]], most)]
+            first = np.repeat(np.array([at[0] for at in found], np.int64), [len(at) - 1 for at in found])
+            others = np.concatenate([np.empty(0, np.int64), *(at[1:] for at in found)])
+            return pa.RecordBatch.from_arrays([pa.array(nodes[first]), pa.array(nodes[others])], names=["a", "b"])
 
         for batch in batches:
             rest_a, rest_n = (np.concatenate([r, np.asarray(c)]) for r, c in zip((rest_a, rest_n), batch.columns[:2], strict=True))
@@ -229,48 +223,82 @@ def candidates(spread: DataFrame) -> DataFrame:
         if len(rest_a):
             yield out(rest_a, rest_n, rest_f)
 
-    return spread.repartition("anchor").sortWithinPartitions("anchor", "node").mapInArrow(pass_, "crowd long, a long, b long")
+    return spread.repartition("anchor").sortWithinPartitions("anchor", "node").mapInArrow(pass_, "a long, b long")
+
+
+def thinned(edges: DataFrame) -> DataFrame:
+    """(a, b): of the stored edges (a, b) enough to connect what all connect. Most repeat what edges of other views say."""
+
+    def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := above.get(x, x)) != x:
+                above[x] = above.get(up, up)
+                x = up
+            return x
+
+        def out() -> pa.RecordBatch:
+            nodes = list(above)
+            return pa.RecordBatch.from_arrays([pa.array(map(root, nodes), pa.int64()), pa.array(nodes, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x, y = root(a), root(b)
+                if x != y:
+                    above[max(x, y)] = min(x, y)
+            if len(above) > EDGES:
+                yield out()
+                above.clear()
+        yield out()
+
+    return edges.coalesce(edges.count() // EDGES + 1).mapInArrow(pass_, "a long, b long")
+
+
+def crowded(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(crowd, node, text): the texts of each group of candidates (node, root), in one crowd or in one for each two of its blocks."""
+    members = stored(roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct()), "members")
+    large = stored(members.groupBy("root").count().filter(F.col("count") > BLOCK).select("root", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "large")
+    placed = members.join(large, "root", "left").select("node", "root", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    nodes = stored(placed, "nodes")
+    # Only the texts of candidates are joined, so the others are not moved.
+    some = stored(docs.join(simhash.sent(nodes), "node"), "texts")
+    for done in (members, large, nodes):
+        forget(done)
+    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != own) | (F.col("blocks") == 1))
+    dealt = some.select("node", "text", "root", own.alias("own"), F.explode(others).alias("other"))
+    # Groups whose hashes agree would be compared as one, which changes no link.
+    return dealt.select(F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("crowd"), "node", "text")
 
 
 def links(docs: DataFrame, spread: DataFrame) -> DataFrame:
     """(a, b): links between the texts (node, text), enough of them to connect what all links connect."""
-    found = stored(candidates(spread).distinct(), "candidates")
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            sets = zip(map(shingles, texts(batch, "text")), map(shingles, texts(batch, "other")), strict=True)
-            good = pa.array([bool(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))) for x, y in sets], pa.bool_())
-            yield batch.select(["a", "b"]).filter(good)
 
-    def crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, nodes, sets = None, [], []
 
-        def out() -> pa.RecordBatch:
-            cols = list(zip(*forest(nodes, sets), strict=True)) or [(), ()]
+        def out(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+            cols = list(zip(*edges, strict=True)) or [(), ()]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
 
-        for batch in batches:
-            for piece in steps(iter([batch]), "text"):
-                for crowd, node, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), texts(piece, "text"), strict=True):
-                    if crowd != now:
-                        if nodes:
-                            yield out()
-                        now, nodes, sets = crowd, [], []
-                    nodes.append(node)
-                    sets.append(shingles(text))
+        for piece in steps(batches, "text"):
+            edges = []
+            for crowd, node, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), texts(piece, "text"), strict=True):
+                if crowd != now:
+                    if nodes:
+                        edges += forest(nodes, sets)
+                    now, nodes, sets = crowd, [], []
+                nodes.append(node)
+                sets.append(shingles(text))
+            yield out(edges)
         if nodes:
-            yield out()
+            yield out(forest(nodes, sets))
 
-    # Only the texts of candidates are joined, so the others are not moved.
-    nodes = stored(found.select(F.explode(F.array_compact(F.array("a", "b"))).alias("node")).distinct(), "nodes")
-    some = stored(docs.join(nodes, "node", "left_semi"), "texts")
-    forget(nodes)
-    first = some.select(F.col("node").alias("a"), "text")
-    second = some.select(F.col("node").alias("b"), F.col("text").alias("other"))
-    two = found.filter("crowd IS NULL").select("a", "b").join(first, "a").join(second, "b").select("a", "b", "text", "other")
-    many = found.filter("crowd IS NOT NULL").select("crowd", "a").join(first, "a").select("crowd", F.col("a").alias("node"), "text")
-    many = many.repartition("crowd").sortWithinPartitions("crowd", "node")
-    return two.mapInArrow(pairs, "a long, b long").unionAll(many.mapInArrow(crowds, "a long, b long"))
+    found = stored(candidates(spread).distinct(), "candidates")
+    crowds = crowded(docs, simhash.components(thinned(found)))
+    forget(found)
+    return crowds.repartition("crowd").sortWithinPartitions("crowd", "node").mapInArrow(pass_, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -120,3 +120,64 @@ def test_the_stage_finds_what_four_bits_miss(spark):
     root = plain_components([t for _, t in rows])
     want = [k for i, (k, _) in enumerate(rows) if root[i] == i]
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, sf).collect()) == want
+
+
+def test_a_text_without_words_among_many_short_ones(spark):
+    # The fingerprints of texts of two shingles have few bits set, so they gather around that of a text without words.
+    texts = ["", *(" ".join(f"w{i}x{k}" for k in range(6)) for i in range(900)), "W0x0 w0x1 w0x2 w0x3 w0x4 w0x5"]
+    assert components(spark, texts) == [*range(901), 1]
+
+
+def test_texts_of_a_large_group_are_stored_once(spark, monkeypatch):
+    rows = {}
+
+    def spy(df, name, write=similar.stored):
+        out = write(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    texts = crowd(200, 4)
+    monkeypatch.setattr(similar, "stored", spy)
+    assert components(spark, texts) == plain_components(texts)
+    assert rows["texts"] <= len(texts) and rows["nodes"] <= len(texts)
+
+
+def test_blocks_meet_two_by_two(spark, monkeypatch):
+    monkeypatch.setattr(similar, "BLOCK", 10)
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(100)], "node long, text string")
+    roots = spark.createDataFrame([(i, 0) for i in range(1, 90)] + [(91, 90), (92, 90)], "node long, root long")
+    crowds = {}
+    for c, node, text in similar.crowded(docs, roots).collect():
+        assert text == f"t{node}"
+        crowds.setdefault(c, []).append(node)
+    pairs = {p for c in crowds.values() for p in itertools.combinations(sorted(c), 2)}
+    assert pairs == {*itertools.combinations(range(90), 2), (90, 91), (90, 92), (91, 92)}
+    assert all(len(set(c)) == len(c) <= 60 for c in crowds.values())
+
+
+@pytest.mark.parametrize("n", [0, 1 << 20])
+def test_rows_kept_do_not_depend_on_what_is_sent(spark, monkeypatch, n):
+    monkeypatch.setattr(similar.simhash, "SENT", n)
+    texts = crowd(30, 6) + ["alone", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = plain_components(texts)
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, r in enumerate(root) if r == i]
+
+
+def test_thinned_edges_connect_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] * 5
+
+    def roots(pairs):
+        root = list(range(400))
+        for a, b in pairs:
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = [new if r == old else r for r in root]
+        return root
+
+    for most in (50, 1 << 17):
+        monkeypatch.setattr(similar, "EDGES", most)
+        got = [tuple(r) for r in similar.thinned(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()]
+        assert roots(got) == roots(edges)
+    assert len(got) < 300
