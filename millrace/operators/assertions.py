@@ -1,4 +1,7 @@
-"""Column assertions, all in one aggregation over a result."""
+"""Column assertions: one aggregation over a result counts all but distinct values, which are counted column by column.
+
+Many distinct values are dealt over tasks by a hash before they are gathered, so that no task holds more of them the larger a result is.
+"""
 
 from __future__ import annotations
 
@@ -28,6 +31,8 @@ class Violation:
 
 #: What a check needs counted, and the message that the counts give (none if all is well).
 Check = tuple[str, list[Column], Callable[[list[Any]], str | None]]
+#: Bytes of distinct values meant for one task, and of each beside its text.
+HELD, ENTRY = 1 << 26, 128
 
 
 def _bound(x: float | None) -> str:
@@ -60,10 +65,10 @@ def checks(c: Column, t: T.DataType, rules: ColumnAssertions, parity_unique: boo
     if rules.not_null:
         out.append(("not_null", [F.count_if(c.isNull())], lambda n: f"{n[0]} null value(s) found" if n[0] else None))
     if rules.unique:
-        distinct = F.count_distinct(c)
-        if parity_unique:
-            distinct = distinct + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
-        out.append(("unique", [F.count(c), distinct], lambda n: f"{n[0] - n[1]} duplicate value(s)" if n[1] < n[0] else None))
+        null = F.max(c.isNull().cast("int")) if parity_unique else F.lit(0)
+        size = F.octet_length(c) if isinstance(t, T.StringType | T.BinaryType) else F.lit(0)
+        needed = [F.count(c), F.coalesce(null, F.lit(0)), F.approx_count_distinct(c), F.sum(F.when(c.isNotNull(), size)), F.max(size)]
+        out.append(("unique", needed, lambda n: f"{n[0] - n[1]} duplicate value(s)" if n[1] < n[0] else None))
     if rules.accepted_values:
         allowed = rules.accepted_values
         out.append(("accepted_values", [F.count_if(~c.cast("string").isin(allowed))], lambda n: f"{n[0]} value(s) not in accepted_values ({len(allowed)} allowed)" if n[0] else None))
@@ -77,8 +82,23 @@ def checks(c: Column, t: T.DataType, rules: ColumnAssertions, parity_unique: boo
     return out
 
 
+def _distinct(df: DataFrame, c: Column, t: T.DataType, values: int, about: int, size: int, longest: int) -> int:
+    """How many distinct values a column has, null left out. ``about``, an estimate, and the bytes of texts only say over how many tasks they are dealt."""
+    if not values:
+        return 0
+    tasks = -(-min(about * (ENTRY + longest), values * ENTRY + size) // HELD)
+    if tasks <= 1:
+        return df.agg(F.count_distinct(c)).first()[0]
+    # Values that are to be unique gain nothing from being gathered where they are read, which holds all of a task's at once.
+    rows = df.filter(c.isNotNull()).select(c.alias("value"))
+    if not isinstance(t, T.FloatType | T.DoubleType):
+        return rows.repartition(tasks, "value").distinct().count()
+    # Spark gathers doubles by another expression (one zero, one NaN) and would deal them again; equal ones have one hash.
+    return rows.withColumn("hash", F.xxhash64("value")).repartition(tasks, "hash").distinct().count()
+
+
 def validate_assertions(df: DataFrame, table: AnalyticTable, parity_unique: bool = False) -> list[Violation]:
-    """All violations, columns in schema order. One pass computes every count."""
+    """All violations, columns in schema order. One pass computes every count but those of distinct values, which take one more a column."""
     types = {f.name: f.dataType for f in df.schema.fields}
     listed: list[tuple[str, Check | None]] = []
     for col in table.schema:
@@ -97,6 +117,9 @@ def validate_assertions(df: DataFrame, table: AnalyticTable, parity_unique: bool
             continue
         kind, needed, message = check
         got, counts = counts[: len(needed)], counts[len(needed) :]
+        if kind == "unique":
+            values, null, *sizes = got
+            got = [values, null + _distinct(df, F.col(quoted(name)), types[name], values, *sizes)]
         if text := message(got):
             out.append(Violation(name, kind, text))
     return out

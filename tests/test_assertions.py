@@ -47,3 +47,49 @@ def test_missing_column(spark):
 
 def test_bounds_are_written_plainly():
     assert [_bound(x) for x in (None, 1, 0.5, 1e16, 1e-7)] == ["None", "Some(1.0)", "Some(0.5)", "Some(1e16)", "Some(1e-7)"]
+
+
+def held(spark, run):
+    """What ``run`` gives, and the most MB that one of its tasks held for sorts and aggregations."""
+    sc = spark.sparkContext
+    sc.setJobGroup("held", "held")
+    out = run()
+    sc.setJobGroup("", "")
+    jsc = sc._jsc.sc()
+    jsc.listenerBus().waitUntilEmpty()
+    tracker, most = sc.statusTracker(), 0
+    for job in tracker.getJobIdsForGroup("held"):
+        for stage in tracker.getJobInfo(job).stageIds:
+            tasks = jsc.statusStore().taskList(stage, 0, 1000)
+            found = [tasks.apply(i).taskMetrics() for i in range(tasks.size())]
+            most = max([most, *(m.get().peakExecutionMemory() for m in found if m.isDefined())])
+    return out, most / 1e6
+
+
+def test_one_task_holds_no_more_the_more_distinct_values_there_are(spark):
+    df = spark.range(3_000_000, numPartitions=1).selectExpr("id % 2999999 AS a")
+    table = model._value(model.AnalyticTable, {"id": "t", "name": "t", "output_prefix": "", "schema": [{"name": "a", "type": "int64", "assertions": {"unique": True}}]}, "t")
+    found, most = held(spark, lambda: validate_assertions(df, table))
+    assert [v.message for v in found] == ["1 duplicate value(s)"]
+    assert most < 250
+
+
+@pytest.mark.parametrize(
+    ("rows", "kind"),
+    [
+        ([*range(300), 7, 7, None, None], "long"),
+        ([*(x / 4 for x in range(300)), 0.0, -0.0, float("nan"), float("nan"), -float("nan"), None], "double"),
+        ([*(f"é{x}" * 20 for x in range(300)), "", "", "é3" * 20, None], "string"),
+        ([True, False, True, None], "boolean"),
+        ([None, None], "string"),
+        ([], "long"),
+    ],
+)
+@pytest.mark.parametrize("parity", [False, True])
+def test_distinct_values_are_the_same_however_they_are_dealt(spark, monkeypatch, rows, kind, parity):
+    whole = check(spark, rows, kind, parity, unique=True)
+    monkeypatch.setattr("millrace.operators.assertions.HELD", 1000)
+    assert check(spark, rows, kind, parity, unique=True) == whole
+    distinct = len({"nan" if x != x else x for x in rows if x is not None}) + (parity and None in rows)
+    extra = sum(x is not None for x in rows) - distinct
+    assert whole == ([("unique", f"{extra} duplicate value(s)")] if extra > 0 else [])
