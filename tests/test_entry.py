@@ -4,6 +4,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -19,6 +20,15 @@ def test_query_matches_its_sql(spark, name):
     against_sql(spark, engine.QUERIES[name], engine.SQL[name], SF)
 
 
+def test_division_matches_its_sql_on_odd_rows(spark, tmp_path):
+    """No price and no sign of zero changes what a zero discount gives; other discounts divide."""
+    odd = "[NULL, 0.0, -0.0, 1.5, -1.5, 'inf', '-inf', 'nan', 1e308, 5e-324]::DOUBLE[]"
+    pairs = f"SELECT unnest({odd}) AS l_extendedprice, l_discount FROM (SELECT unnest({odd}) AS l_discount)"
+    duckdb.sql(f"COPY (SELECT row_number() OVER () AS l_orderkey, 1::INTEGER AS l_linenumber, * FROM ({pairs})) TO '{tmp_path}/lineitem.parquet'")
+    assert engine.QUERIES["div_zero"](spark, str(tmp_path)).count() == 100
+    against_sql(spark, engine.QUERIES["div_zero"], engine.SQL["div_zero"], str(tmp_path))
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 1500
 
